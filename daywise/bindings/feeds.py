@@ -3,8 +3,8 @@
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..functions import classify_day_type
-from ..functions.fixed_values import KOREAN, WEATHER_COLUMNS
+from ..functions import classify_day_type, month_key
+from ..functions.fixed_values import BUS_COLUMNS, INPUT_FILES, KOREAN, SUBWAY_COLUMNS, WEATHER_COLUMNS
 from ..session import new_folder
 from ..sinks import write_csv
 from . import events
@@ -116,3 +116,35 @@ def mixed_charsets(spark: SparkSession, sf: str) -> str:
     torn = F.concat(F.col("value").cast("binary"), F.unhex(F.lit("FF"))).cast("string")
     lines("error").select(torn.alias("value")).write.text(f"{path}/error")
     return path
+
+
+def raw_month(spark: SparkSession, sf: str, month: str) -> str:
+    """The four raw CSV files of a month, under their published names and columns."""
+    log = events.log(spark, sf).filter(month_key(F.col("day")) == month)
+    number = F.date_format("day", "yyyyMMdd")
+    path = new_folder(spark, "raw-month")
+
+    def usage(name: str, columns) -> None:
+        day, boardings, alightings = columns["day"][0], columns["boardings"], columns["alightings"]
+        rows = log.filter(events.kind(name)).select(
+            number.alias(day), F.col("boardings").alias(boardings), F.col("alightings").alias(alightings)
+        )
+        write_csv(rows, f"{path}/{files[name].format(month=month)}")
+
+    files = {"click": INPUT_FILES["bus"], "view": INPUT_FILES["subway"]}
+    usage("click", BUS_COLUMNS)
+    usage("view", SUBWAY_COLUMNS)
+    weather = events.weather(log).select(
+        number.alias("TM"),
+        F.col("station").alias("STN"),
+        F.col("tavg").alias("TA_AVG"),
+        F.col("tmax").alias("TA_MAX"),
+        F.col("tmin").alias("TA_MIN"),
+        F.col("rain").alias("RN_DAY"),
+    )
+    write_csv(weather, f"{path}/{INPUT_FILES['weather'].format(month=month)}")
+    dust = log.filter(events.kind("error")).select(
+        F.col("stamp").alias("TM"), F.col("station").alias("STN_ID"), events.dust_text().alias("PM10")
+    )
+    write_csv(dust, f"{path}/{INPUT_FILES['dust'].format(month=month)}")
+    return path

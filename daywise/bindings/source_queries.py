@@ -213,6 +213,19 @@ def sink_csv_export(spark: SparkSession, sf: str) -> DataFrame:
     return src.read_csv(spark, path, schema_of(spark, ddl))
 
 
+@query(f"with {DAILY} select * from d where ym = '202401'")
+def month_run(spark: SparkSession, sf: str) -> DataFrame:
+    """The monthly run on four raw CSV files, run twice."""
+    raw = feeds.raw_month(spark, sf, "202401")
+    folder = new_folder(spark, "month-run")
+    charsets = dict.fromkeys(fv.INPUT_FILES, "utf-8")
+    for _ in range(2):
+        stored = plans.run_month(
+            spark, raw, "202401", f"{folder}/table", f"{folder}/export", ev.STATION, ev.RULES, charsets
+        )
+    return stored
+
+
 @query(f"""with {LOG}
 select event_id, user_id, value, case when event_type = 'error' then 0 else value end as rain from u""")
 def sink_csv_overwrite(spark: SparkSession, sf: str) -> DataFrame:

@@ -54,6 +54,15 @@ DAY_FORMAT = "yyyyMMdd"
 MONTH_FORMAT = "yyyyMM"
 BOM = "\ufeff"
 
+# Input file names and their charsets.
+INPUT_FILES = {
+    "bus": "BUS_STATION_BOARDING_MONTH_{month}.csv",
+    "subway": "CARD_SUBWAY_MONTH_{month}.csv",
+    "weather": "weather_data_{month}.csv",
+    "dust": "dust_data_{month}.csv",
+}
+INPUT_CHARSETS = {"bus": "cp949", "subway": "utf-8", "weather": "cp949", "dust": "cp949"}
+
 # Input column names. The bus day column depends on where the file is from.
 BUS_COLUMNS = {
     "day": ("USE_YMD", "사용일자"),

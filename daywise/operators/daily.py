@@ -10,20 +10,26 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions import cast_lenient, day_from_stamp, fill_nulls, parse_day
+from ..functions import cast_lenient, day_from_stamp, fill_nulls, parse_day, parse_day_lenient
 
 
-def normalise_usage(df: DataFrame, columns: Mapping[str, object]) -> DataFrame:
+def normalise_usage(df: DataFrame, columns: Mapping[str, object], lenient: bool = False) -> DataFrame:
     """Usage rows as (day DATE, boardings BIGINT, alightings BIGINT).
 
     `columns["day"]` lists candidate names; those the file has are coalesced in order.
+    Malformed days and counts fail the job, or give null if `lenient`.
     """
     days = [F.col(f"`{name}`") for name in columns["day"] if name in df.columns]
     if not days:
         raise ValueError(f"none of {columns['day']} is a column")
+    to_day = parse_day_lenient if lenient else parse_day
+    counts = {name: F.col(f"`{columns[name]}`") for name in ("boardings", "alightings")}
     return df.select(
-        parse_day(F.coalesce(*days)).alias("day"),
-        *[F.col(f"`{columns[c]}`").cast("bigint").alias(c) for c in ("boardings", "alightings")],
+        to_day(F.coalesce(*days)).alias("day"),
+        *[
+            (cast_lenient(raw, "bigint") if lenient else raw.cast("bigint")).alias(name)
+            for name, raw in counts.items()
+        ],
     )
 
 

@@ -9,6 +9,7 @@ from .daily_condition import (
     published_names,
     table_names,
 )
+from .month_run import read_month_inputs, run_month
 from .reports import (
     heavy_rain_days,
     mean_use_by,
@@ -31,11 +32,13 @@ __all__ = [
     "merge_inputs",
     "merge_log",
     "published_names",
+    "read_month_inputs",
     "report_dust",
     "report_rain",
     "report_severe",
     "report_temp_sensitivity",
     "report_year_rain",
+    "run_month",
     "station_profile",
     "table_names",
 ]

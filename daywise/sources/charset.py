@@ -10,12 +10,12 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import materialise
 
-# A file list is sent to every executor only up to this many files; beyond, it is shuffled.
-BROADCAST_FILES = 100_000
+# Up to this many files a scan is cut to the wanted ones by name; beyond, lines are joined.
+LISTED_FILES = 20_000
 
 
-def decode_lines(charset: str):
-    """Arrow UDF from bytes to text; a line that is not valid in `charset` gives null."""
+def decode_lines(charset: str, strict: bool = False):
+    """Arrow UDF from bytes to text. A line not valid in `charset` gives null, or fails if `strict`."""
 
     @F.pandas_udf("string")
     def decode(lines: pd.Series) -> pd.Series:
@@ -23,6 +23,8 @@ def decode_lines(charset: str):
             try:
                 return line.decode(charset)
             except UnicodeDecodeError:
+                if strict:
+                    raise
                 return None
 
         present = lines.dropna()
@@ -36,47 +38,60 @@ def decode_lines(charset: str):
     return decode
 
 
-def file_status(spark: SparkSession, path: str, fallback: str = "cp949", glob: str | None = None) -> DataFrame:
+def _options(glob: str | None) -> dict[str, str]:
+    return {"recursiveFileLookup": "true"} | ({"pathGlobFilter": glob} if glob else {})
+
+
+def raw_lines(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:
+    """(value, file): lines as undecoded bytes in a string column; a BOM is skipped."""
+    lines = spark.read.options(**_options(glob)).text(path)
+    return lines.select("value", F.col("_metadata.file_path").alias("file"))
+
+
+def only_files(lines: DataFrame, files: DataFrame) -> DataFrame:
+    """The lines of the given files.
+
+    A list of names, checked to be short, is a filter that keeps other files from being opened.
+    """
+    names = [row.file for row in files.select("file").limit(LISTED_FILES + 1).collect()]
+    if len(names) <= LISTED_FILES:
+        return lines.filter(F.col("file").isin(names))
+    return lines.join(files.select("file"), "file", "left_semi")
+
+
+def file_status(
+    spark: SparkSession, path: str, fallback: str = "cp949", glob: str | None = None
+) -> DataFrame:
     """(file, status) for every file: `utf-8`, the fallback charset, `empty` or `undecodable`."""
-    options = {"recursiveFileLookup": "true"} | ({"pathGlobFilter": glob} if glob else {})
     files = (
-        spark.read.format("binaryFile").options(**options).load(path)
-        .select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_size").alias("length"))
+        spark.read.format("binaryFile")
+        .options(**_options(glob))
+        .load(path)
+        .select(
+            F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_size").alias("size")
+        )
     )
     lines = raw_lines(spark, path, glob)
     valid = lines.groupBy("file").agg(F.bool_and(F.is_valid_utf8("value")).alias("utf8"))
-    known = files.join(valid, "file", "left").select(
-        "file",
-        F.when(F.col("length") == 0, "empty").when(F.col("utf8"), "utf-8").alias("status"),
+    known = materialise(
+        files.join(valid, "file", "left").select(
+            "file",
+            F.when(F.col("size") == 0, "empty").when(F.col("utf8"), "utf-8").alias("status"),
+        ),
+        "file-charset",
     )
-    known = materialise(known, "file-charset")
-    others = with_file_info(lines, known.filter(F.col("status").isNull()))
+    others = only_files(lines, known.filter(F.col("status").isNull()))
+    text = decode_lines(fallback)(F.col("value").cast("binary"))
     decodes = (
-        others.select("file", decode_lines(fallback)(F.col("value").cast("binary")).alias("text"))
+        others.select("file", text.isNotNull().alias("ok"))
         .groupBy("file")
-        .agg(F.bool_and(F.col("text").isNotNull()).alias("decodes"))
-    )
-    return known.join(decodes, "file", "left").select(
-        "file",
-        F.coalesce(
-            "status", F.when(F.col("decodes"), F.lit(fallback)).otherwise("undecodable")
-        ).alias("status"),
+        .agg(F.bool_and("ok").alias("decodes"))
     )
-
-
-def raw_lines(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:
-    """(value, file): lines as undecoded bytes in a string column; a BOM is skipped."""
-    options = {"recursiveFileLookup": "true"} | ({"pathGlobFilter": glob} if glob else {})
-    return spark.read.options(**options).text(path).select(
-        "value", F.col("_metadata.file_path").alias("file")
+    by_fallback = F.when(F.col("decodes"), fallback).otherwise("undecodable")
+    status = known.join(decodes, "file", "left").select(
+        "file", F.coalesce("status", by_fallback).alias("status")
     )
-
-
-def with_file_info(lines: DataFrame, info: DataFrame) -> DataFrame:
-    """Inner join of lines and per-file facts. Few files: broadcast, the lines stay in place."""
-    if info.limit(BROADCAST_FILES + 1).count() <= BROADCAST_FILES:
-        info = F.broadcast(info)
-    return lines.join(info, "file")
+    return materialise(status, "file-status")
 
 
 def recode_lines(
@@ -86,9 +101,12 @@ def recode_lines(
 
     A file with any undecodable byte is quarantined as a whole: it gives a status and no line.
     """
-    status = materialise(file_status(spark, path, fallback, glob), "file-status")
+    status = file_status(spark, path, fallback, glob)
     lines = raw_lines(spark, path, glob)
-    plain = with_file_info(lines, status.filter(F.col("status") == "utf-8"))
-    other = with_file_info(lines, status.filter(F.col("status") == fallback))
-    decoded = other.withColumn("value", decode_lines(fallback)(F.col("value").cast("binary")))
-    return plain.unionByName(decoded).select("file", "status", F.col("value").alias("line")), status
+
+    def of(charset: str, text) -> DataFrame:
+        found = only_files(lines, status.filter(F.col("status") == charset))
+        return found.select("file", F.lit(charset).alias("status"), text.alias("line"))
+
+    decoded = decode_lines(fallback)(F.col("value").cast("binary"))
+    return of("utf-8", F.col("value")).unionByName(of(fallback, decoded)), status

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import csv
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -38,17 +39,20 @@ def read_csv(
         return (reader.schema(schema) if schema else reader).csv(paths)
     lines = spark.read.options(**options).text(paths)
     partitions = [c for c in lines.columns if c != "value"]
-    text = lines.select(decode_lines(charset)(F.col("value").cast("binary")).alias("line"), *partitions)
+    decoded = decode_lines(charset, strict=True)(F.col("value").cast("binary"))
+    text = lines.select(decoded.alias("line"), *partitions)
     if header:
         first = text.select("line").first()
-        head = first.line if first else ""
-        text = text.filter(F.col("line") != head)
-        if schema is None:
-            schema = T.StructType([T.StructField(c, T.StringType()) for c in head.split(",")])
+        if first is not None:
+            text = text.filter(F.col("line") != first.line)
+            if schema is None:
+                names = next(csv.reader([first.line]))
+                schema = T.StructType([T.StructField(c, T.StringType()) for c in names])
     if schema is None:
         raise ValueError("a schema is needed where there is no header")
-    parsed = F.from_csv("line", ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema))
-    return text.filter(F.trim("line") != "").select(parsed.alias("r"), *partitions).select("r.*", *partitions)
+    ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
+    rows = text.filter(F.trim("line") != "").select(F.from_csv("line", ddl).alias("r"), *partitions)
+    return rows.select("r.*", *partitions)
 
 
 def _java_charsets(spark: SparkSession) -> bool:
