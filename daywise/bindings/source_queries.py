@@ -182,10 +182,10 @@ def recode_files(spark: SparkSession, sf: str) -> DataFrame:
   when event_type = 'error' then 'undecodable' else 'cp949' end as status
 from events group by event_type""")
 def recode_status(spark: SparkSession, sf: str) -> DataFrame:
-    """What became of each kind of file. A task without rows may leave an empty one."""
+    """What became of each kind of file."""
     status = src.file_status(spark, feeds.mixed_charsets(spark, sf))
     feed = F.element_at(F.split("file", "/"), -2).alias("feed")
-    return status.filter(F.col("status") != "empty").select(feed, "status").distinct()
+    return status.select(feed, "status").distinct()
 
 
 @query(f"with {TRADE} select trip, day, boardings, strftime(day, '%Y%m') as ym from b")

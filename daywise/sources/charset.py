@@ -62,25 +62,15 @@ def only_files(lines: DataFrame, files: DataFrame) -> DataFrame:
 def file_status(
     spark: SparkSession, path: str, fallback: str = "cp949", glob: str | None = None
 ) -> DataFrame:
-    """(file, status) for every file: `utf-8`, the fallback charset, `empty` or `undecodable`."""
-    files = (
-        spark.read.format("binaryFile")
-        .options(**_options(glob))
-        .load(path)
-        .select(
-            F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_size").alias("size")
-        )
-    )
+    """(file, status) for every file: `utf-8`, the fallback charset, or `undecodable`.
+
+    Files of zero bytes are skipped by Spark's file scans and so have no row.
+    """
     lines = raw_lines(spark, path, glob)
-    valid = lines.groupBy("file").agg(F.bool_and(F.is_valid_utf8("value")).alias("utf8"))
     known = materialise(
-        files.join(valid, "file", "left").select(
-            "file",
-            F.when(F.col("size") == 0, "empty").when(F.col("utf8"), "utf-8").alias("status"),
-        ),
-        "file-charset",
+        lines.groupBy("file").agg(F.bool_and(F.is_valid_utf8("value")).alias("utf8")), "file-utf8"
     )
-    others = only_files(lines, known.filter(F.col("status").isNull()))
+    others = only_files(lines, known.filter(~F.col("utf8")))
     text = decode_lines(fallback)(F.col("value").cast("binary"))
     decodes = (
         others.select("file", text.isNotNull().alias("ok"))
@@ -89,7 +79,7 @@ def file_status(
     )
     by_fallback = F.when(F.col("decodes"), fallback).otherwise("undecodable")
     status = known.join(decodes, "file", "left").select(
-        "file", F.coalesce("status", by_fallback).alias("status")
+        "file", F.when(F.col("utf8"), "utf-8").otherwise(by_fallback).alias("status")
     )
     return materialise(status, "file-status")
 

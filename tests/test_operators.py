@@ -1,0 +1,149 @@
+"""Sums, joins, spines, reshaping and distributions on small frames."""
+
+import datetime
+import statistics
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from daywise import operators as op
+from daywise.functions import fixed_values as fv
+
+D1, D2, D3 = (datetime.date(2025, 1, d) for d in (1, 2, 3))
+
+
+def test_daily_usage_total_is_null_if_a_measure_is(rows):
+    df = rows("day DATE, boardings BIGINT, alightings BIGINT", [(D1, 3, 4), (D1, 1, None), (D2, None, 5)])
+    assert rows.of(op.daily_usage(df, "total")) == [(D1, 4, 4, 8), (D2, None, 5, None)]
+
+
+def test_usage_day_column_depends_on_origin(rows):
+    api = rows("USE_YMD INT, GTON_TNOPE INT, GTOFF_TNOPE INT", [(20250101, 3, 4)])
+    download = rows("`사용일자` STRING, GTON_TNOPE STRING, GTOFF_TNOPE STRING", [("20250101", "3", "4")])
+    for df in (api, download):
+        assert rows.of(op.normalise_usage(df, fv.BUS_COLUMNS)) == [(D1, 3, 4)]
+    with pytest.raises(ValueError):
+        op.normalise_usage(rows("x INT", [(1,)]), fv.BUS_COLUMNS)
+
+
+def test_lenient_usage(rows):
+    df = rows(
+        "`사용일자` STRING, `승차총승객수` STRING, `하차총승객수` STRING",
+        [("2025xx01", "1", "1"), ("20250101", "4x", "2")],
+    )
+    assert rows.of(op.normalise_usage(df, fv.SUBWAY_COLUMNS, lenient=True)) == [
+        (None, 1, 1),
+        (D1, None, 2),
+    ] or rows.of(op.normalise_usage(df, fv.SUBWAY_COLUMNS, lenient=True)) == [(D1, None, 2), (None, 1, 1)]
+
+
+def test_mean_of_all_or_of_one_station(rows):
+    df = rows("day DATE, station INT, pm INT", [(D1, 108, 10), (D1, 90, 20), (D2, 90, None)])
+    assert rows.of(op.daily_mean(df, "pm", "m")) == [(D1, 15.0), (D2, None)]
+    assert rows.of(op.daily_mean(df, "pm", "m", station=108)) == [(D1, 10.0)]
+
+
+def test_station_weather_fills_rain_and_refuses_repeats(rows):
+    df = rows("day DATE, station INT, rain DOUBLE", [(D1, 108, None), (D1, 90, 7.0), (D2, 108, 2.0)])
+    assert rows.of(op.station_weather(df, 108)) == [(D1, 0.0), (D2, 2.0)]
+    twice = df.unionByName(df)
+    with pytest.raises(Exception, match="repeated key"):
+        op.station_weather(twice, 108).collect()
+    with pytest.raises(Exception, match="repeated key"):
+        op.station_weather(twice, 108).select("day").collect()
+
+
+def merge(rows):
+    a = rows("day DATE, mode_a BIGINT", [(D1, 1), (D2, 2), (D3, 3)])
+    b = rows("day DATE, mode_b BIGINT", [(D1, 10), (D2, 20), (D3, 30)])
+    weather = rows("day DATE, rain DOUBLE", [(D1, 0.0), (D2, 5.0)])
+    dust = rows("day DATE, avg_pm DOUBLE", [(D1, 40.0)])
+    return a, op.daily_merge(a, b, weather, dust)
+
+
+def test_merge_needs_weather_but_not_dust(rows):
+    assert rows.of(merge(rows)[1]) == [(D1, 1, 10, 0.0, 40.0), (D2, 2, 20, 5.0, None)]
+
+
+def test_coverage_lists_what_the_merge_drops(rows):
+    a, merged = merge(rows)
+    requested = a.select("day")
+    report = op.coverage_report(requested, merged)
+    assert rows.of(report) == [(D1, 1, "collected"), (D2, 1, "collected"), (D3, 0, "missing")]
+    assert rows.of(op.missing_days(requested, merged)) == [(D3,)]
+
+
+def test_join_on_different_names_keeps_one_key(rows):
+    a = rows("day DATE, x INT", [(D1, 1), (D2, 2)])
+    b = rows("tm DATE, y INT", [(D1, 5)])
+    assert op.join_conditions(a, b, "tm").columns == ["day", "x", "y"]
+    assert rows.of(op.join_conditions(a, b, "tm", "left")) == [(D1, 1, 5), (D2, 2, None)]
+
+
+def test_union_aligns_by_name(rows):
+    a, b = rows("x INT, y INT", [(1, 2)]), rows("y INT, x INT, z INT", [(3, 4, 5)])
+    assert rows.of(op.union_by_name([a, b])) == [(1, 2, None), (4, 3, 5)]
+
+
+def test_union_of_months_is_the_year(rows):
+    days = [datetime.date(2025, m, d) for m in (1, 2, 3) for d in (1, 15)]
+    year = rows("day DATE, boardings BIGINT, alightings BIGINT", [(d, d.month, d.day) for d in days])
+    parts = [year.filter(F.month("day") == m) for m in (1, 2, 3)]
+    by_part = op.union_by_name([op.daily_usage(p, "t") for p in parts])
+    assert rows.of(by_part) == rows.of(op.daily_usage(year, "t"))
+
+
+def test_spine_and_months(rows):
+    bounds = rows("lo DATE, hi DATE", [(datetime.date(2024, 12, 30), datetime.date(2025, 2, 1))])
+    days = [r[0] for r in op.calendar_spine(bounds).orderBy("day").collect()]
+    assert len(days) == 34 and days[0].isoformat() == "2024-12-30"
+    assert all(r[0].weekday() >= 5 for r in op.calendar_spine(bounds, weekend_only=True).collect())
+    months = [(r.ym, r.first_day.isoformat(), r.last_day.isoformat()) for r in op.month_bounds(bounds).orderBy("ym").collect()]
+    assert months == [
+        ("202412", "2024-12-01", "2024-12-31"),
+        ("202501", "2025-01-01", "2025-01-31"),
+        ("202502", "2025-02-01", "2025-02-28"),
+    ]
+
+
+def test_long_keeps_nulls_and_types(rows):
+    df = rows("day DATE, a BIGINT, b BIGINT", [(D1, 1, None)])
+    assert rows.of(op.to_long(df, ["day"], {"a": "bus", "b": "subway"}, "mode", "n")) == [
+        (D1, "bus", 1),
+        (D1, "subway", None),
+    ]
+
+
+def test_mean_rounds_half_up(rows):
+    df = rows("c STRING, x BIGINT", [("p", 1), ("p", 2), ("q", 2), ("q", 3)])
+    assert rows.of(op.avg_by_category(df, "c", {"x": "m"})) == [("p", 2.0), ("q", 3.0)]
+
+
+def test_mean_of_long_is_mean_of_wide(rows):
+    df = rows("c STRING, a BIGINT, b BIGINT", [("p", 1, 7), ("p", 4, 8), ("q", 2, 9)])
+    wide = op.to_long(op.avg_by_category(df, "c", {"a": "a", "b": "b"}), ["c"], {"a": "a", "b": "b"}, "m", "x")
+    long = op.avg_by_category(op.to_long(df, ["c"], {"a": "a", "b": "b"}, "m", "x"), ["c", "m"], {"x": "x"})
+    assert rows.of(wide) == rows.of(long)
+
+
+def test_box_against_numpy(rows):
+    rng = np.random.default_rng(7)
+    data = [("g", int(v)) for v in rng.integers(0, 100, 200)] + [("g", 900), ("g", -700), ("h", 5)]
+    got = {r.c: r for r in op.box_stats(rows("c STRING, x BIGINT", data), ["c"], "x").collect()}
+    x = np.array([v for c, v in data if c == "g"])
+    q1, median, q3 = np.percentile(x, [25, 50, 75])
+    inside = x[(x >= q1 - 1.5 * (q3 - q1)) & (x <= q3 + 1.5 * (q3 - q1))]
+    g = got["g"]
+    assert (g.n, g.q1, g.median, g.q3) == (202, q1, median, q3)
+    assert (g.whisker_lo, g.whisker_hi, g.n_outliers) == (inside.min(), inside.max(), 2)
+    assert (got["h"].q1, got["h"].whisker_lo, got["h"].n_outliers) == (5.0, 5, 0)
+
+
+def test_mean_interval(rows):
+    data = [3, 5, 8, 13]
+    r = op.mean_ci(rows("c STRING, x BIGINT", [("g", v) for v in data] + [("one", 1)]), ["c"], "x")
+    got = {row.c: row for row in r.collect()}
+    half = 1.96 * statistics.stdev(data) / 2
+    assert got["g"].mean == 7.25 and got["g"].lo == pytest.approx(7.25 - half, abs=0.01)
+    assert got["one"].sd is None and got["one"].lo is None and got["one"].mean == 1.0
