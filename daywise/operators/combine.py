@@ -27,7 +27,7 @@ def join_conditions(
 def daily_merge(
     mode_a: DataFrame, mode_b: DataFrame, weather: DataFrame, dust: DataFrame, day: str = "day"
 ) -> DataFrame:
-    """Both modes and weather must know the day; dust is optional."""
+    """Days that both modes and weather know; the dust mean is null where there is none."""
     return join_modes(mode_a, mode_b, day).join(weather, day, "inner").join(dust, day, "left")
 
 

@@ -9,7 +9,7 @@ from .daily_condition import (
     published_names,
     table_names,
 )
-from .month_run import read_month_inputs, run_month
+from .month_run import read_inputs, run_month, run_year
 from .reports import (
     heavy_rain_days,
     mean_use_by,
@@ -32,13 +32,14 @@ __all__ = [
     "merge_inputs",
     "merge_log",
     "published_names",
-    "read_month_inputs",
+    "read_inputs",
     "report_dust",
     "report_rain",
     "report_severe",
     "report_temp_sensitivity",
     "report_year_rain",
     "run_month",
+    "run_year",
     "station_profile",
     "table_names",
 ]

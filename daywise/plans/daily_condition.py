@@ -15,7 +15,7 @@ from ..functions import (
     fixed_values as fv,
     month_key,
 )
-from ..operators import daily_mean, daily_merge, daily_usage, station_weather
+from ..operators import daily_mean, daily_merge, daily_usage, join_modes, station_weather
 
 DAILY_COLUMNS = (
     "use_date", "rain_day", "rain_class", "mode_a", "mode_b", "avg_pm", "dust_grade",
@@ -44,17 +44,20 @@ def merge_inputs(
     usage_a: DataFrame,
     usage_b: DataFrame,
     weather: DataFrame,
-    dust: DataFrame,
+    dust: DataFrame | None = None,
     station: object = fv.CITY_STATION,
     dust_station: object = None,
 ) -> DataFrame:
     """Aggregate each input to the day in one scan of it, then join the daily frames."""
-    return daily_merge(
+    modes = (
         daily_usage(usage_a, "mode_a").select("day", "mode_a"),
         daily_usage(usage_b, "mode_b").select("day", "mode_b"),
-        station_weather(weather, station),
-        daily_mean(dust, "pm", "avg_pm", dust_station),
     )
+    weather = station_weather(weather, station)
+    if dust is None:
+        no_mean = F.lit(None).cast("double").alias("avg_pm")
+        return join_modes(*modes).join(weather, "day", "inner").select("*", no_mean)
+    return daily_merge(*modes, weather, daily_mean(dust, "pm", "avg_pm", dust_station))
 
 
 @dataclass(frozen=True)

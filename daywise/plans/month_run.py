@@ -1,4 +1,4 @@
-"""The monthly run: four raw files of a month to the stored daily table and the CSV export."""
+"""The monthly run: raw files of a month to the stored daily table and the CSV export."""
 
 from __future__ import annotations
 
@@ -13,21 +13,48 @@ from ..sources import read_csv, read_month_table, scan_month
 from .daily_condition import DAILY_SCHEMA, Rules, daily_condition_table, merge_inputs, published_names
 
 
-def read_month_inputs(
-    spark: SparkSession, raw: str, month: str, charsets: Mapping[str, str] = fv.INPUT_CHARSETS
+def read_inputs(
+    spark: SparkSession,
+    raw: str,
+    month: str,
+    charsets: Mapping[str, str] = fv.INPUT_CHARSETS,
+    with_dust: bool = True,
 ) -> dict[str, DataFrame]:
-    """The month's inputs by name, cleaned to day, station and measures."""
+    """The inputs by name, cleaned to day, station and measures.
+
+    `month` fills the file names and may be a pattern: `2025*` stacks the files of a year.
+    """
 
     def rows(name: str) -> DataFrame:
         path = f"{raw}/{fv.INPUT_FILES[name].format(month=month)}"
         return read_csv(spark, path, charset=charsets[name])
 
-    return {
+    inputs = {
         "usage_a": normalise_usage(rows("bus"), fv.BUS_COLUMNS),
         "usage_b": normalise_usage(rows("subway"), fv.SUBWAY_COLUMNS, lenient=True),
         "weather": normalise_weather(rows("weather")),
-        "dust": normalise_dust(rows("dust")),
     }
+    if with_dust:
+        inputs["dust"] = normalise_dust(rows("dust"))
+    return inputs
+
+
+def _store(
+    spark: SparkSession,
+    inputs: Mapping[str, DataFrame],
+    first: str,
+    last: str,
+    table: str,
+    export: str | None,
+    station: object,
+    rules: Rules,
+) -> DataFrame:
+    daily = daily_condition_table(merge_inputs(**inputs, station=station), rules)
+    write_month_table(daily, table)
+    stored = scan_month(read_month_table(spark, table, DAILY_SCHEMA), first, last)
+    if export:
+        write_csv(published_names(stored), export, bom=True, single_file=True)
+    return stored
 
 
 def run_month(
@@ -45,9 +72,21 @@ def run_month(
     Running a month again gives the same table. The export is made from the stored rows, so the
     raw files are aggregated once.
     """
-    merged = merge_inputs(**read_month_inputs(spark, raw, month, charsets), station=station)
-    write_month_table(daily_condition_table(merged, rules), table)
-    stored = scan_month(read_month_table(spark, table, DAILY_SCHEMA), month)
-    if export:
-        write_csv(published_names(stored), export, bom=True, single_file=True)
-    return stored
+    inputs = read_inputs(spark, raw, month, charsets)
+    return _store(spark, inputs, month, month, table, export, station, rules)
+
+
+def run_year(
+    spark: SparkSession,
+    raw: str,
+    year: str,
+    table: str,
+    export: str | None = None,
+    station: object = fv.CITY_STATION,
+    rules: Rules = Rules(),
+    charsets: Mapping[str, str] = fv.INPUT_CHARSETS,
+    with_dust: bool = False,
+) -> DataFrame:
+    """The same for all files of a year at once, by default without dust."""
+    inputs = read_inputs(spark, raw, f"{year}*", charsets, with_dust)
+    return _store(spark, inputs, f"{year}01", f"{year}12", table, export, station, rules)

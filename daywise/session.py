@@ -7,16 +7,19 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-# Sizes are per task, so they hold whatever the total is: AQE starts from many shuffle
-# partitions and merges them to the advisory size, and splits those that are skewed.
+# Sizes are per task, so they hold whatever the total is: a shuffle starts with many partitions,
+# AQE merges them to the advisory size by what they really hold, and splits those that are skewed.
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "4000",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     "spark.sql.files.maxPartitionBytes": "256m",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Lets the CSV reader itself decode cp949, so that no line passes through Python.
+    "spark.sql.legacy.javaCharsets": "true",
 }
 
 _local_folder: dict[str, str] = {}

@@ -107,6 +107,20 @@ def test_second_month_is_added(spark, tmp_path):
     assert {r.ym: r["count"] for r in stored.groupBy("ym").count().collect()} == {"202501": 3, "202502": 3}
 
 
+def test_year_is_its_months(spark, rows, tmp_path):
+    raw_month(tmp_path, "202501")
+    raw_month(tmp_path, "202502")
+    year = plans.run_year(spark, str(tmp_path), "2025", str(tmp_path / "a"), with_dust=True)
+    for month in ("202501", "202502"):
+        plans.run_month(spark, str(tmp_path), month, str(tmp_path / "b"))
+    months = src.read_month_table(spark, str(tmp_path / "b"), plans.DAILY_SCHEMA)
+    assert rows.of(year) == rows.of(months)
+    bare = plans.run_year(spark, str(tmp_path), "2025", str(tmp_path / "c"), str(tmp_path / "d"))
+    assert rows.of(bare.select("avg_pm", "dust_grade").distinct()) == [(None, "unknown")]
+    assert rows.of(bare.drop("avg_pm", "dust_grade")) == rows.of(year.drop("avg_pm", "dust_grade"))
+    assert src.read_csv(spark, str(tmp_path / "d")).count() == 6
+
+
 # Incremental load
 
 INGESTED = "id BIGINT, n BIGINT, day DATE, ym STRING"
