@@ -16,7 +16,8 @@ PAGE_ROW = "event_id BIGINT, user_id BIGINT, cents BIGINT"
 def encode_lines(charset: str):
     @F.pandas_udf("binary")
     def encode(lines: pd.Series) -> pd.Series:
-        return lines.map(lambda line: line.encode(charset))
+        encoded = "\n".join(lines).encode(charset).split(b"\n") if len(lines) else []
+        return pd.Series(encoded, index=lines.index, dtype=object)
 
     return encode
 
