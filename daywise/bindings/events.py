@@ -6,7 +6,7 @@ temperatures, errors dust readings. The first digit of `$.k` is the station.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions import cast_lenient
 from ..plans import Roles, Rules, label_days, merge_inputs, merge_log
@@ -15,8 +15,12 @@ STATION = 8
 RULES = Rules(dust_up_to=(45.0, 50.0, 55.0), heat_from=300.0, cold_to=0.5)
 
 
-def log(spark: SparkSession, sf: str) -> DataFrame:
+def log(
+    spark: SparkSession, sf: str, alighting: Column | None = None, placed: Column | None = None
+) -> DataFrame:
+    """The rows. Given conditions, alightings and stations are null, and unparsed, elsewhere."""
     k = F.get_json_object("props", "$.k").cast("bigint")
+    station = F.floor(k / 10).cast("int")
     return spark.read.parquet(f"{sf}/events.parquet").select(
         "event_id",
         F.col("ts").cast("date").alias("day"),
@@ -25,21 +29,21 @@ def log(spark: SparkSession, sf: str) -> DataFrame:
         "user_id",
         "value",
         F.round(F.col("value") * 100).cast("bigint").alias("boardings"),
-        k.alias("alightings"),
-        F.floor(k / 10).cast("int").alias("station"),
+        (k if alighting is None else F.when(alighting, k)).alias("alightings"),
+        (station if placed is None else F.when(placed, station)).alias("station"),
         F.round("value").cast("int").alias("reading"),
     )
 
 
-def kind(name: str):
+def kind(name: str) -> Column:
     return F.col("event_type") == name
 
 
-def mean_cents():
+def mean_cents() -> Column:
     return F.try_divide(F.sum("boardings").cast("double"), F.count("boardings")) / 100
 
 
-def dust_text():
+def dust_text() -> Column:
     """The dust sensor is serviced on Mondays and then sends no number."""
     return F.when(F.dayofweek("day") == 2, "-").otherwise(F.col("reading").cast("string"))
 
@@ -72,7 +76,9 @@ def merged_by_joins(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def merged_in_one_pass(spark: SparkSession, sf: str) -> DataFrame:
-    events = log(spark, sf).withColumn("pm", cast_lenient(dust_text(), "int"))
+    # Parsing JSON is most of the work, and only trips and rain readings need it.
+    events = log(spark, sf, alighting=kind("click") | kind("view"), placed=kind("purchase"))
+    events = events.withColumn("pm", F.when(kind("error"), cast_lenient(dust_text(), "int")))
     roles = Roles(
         usage_a=kind("click"),
         usage_b=kind("view"),
@@ -81,7 +87,7 @@ def merged_in_one_pass(spark: SparkSession, sf: str) -> DataFrame:
         dust=kind("error"),
     )
 
-    def mean_of(role):
+    def mean_of(role: Column) -> Column:
         cents = F.when(role, F.col("boardings"))
         return F.try_divide(F.sum(cents).cast("double"), F.count(cents)) / 100
 

@@ -21,19 +21,15 @@ def read_csv(
     charset: str = "utf-8",
     header: bool = True,
     glob: str | None = None,
-    base_path: str | None = None,
 ) -> DataFrame:
     """Scan CSV files with explicit types, never an inference pass over the data.
 
     Without a schema only the header line is looked at and every column is text. `glob` keeps
-    the files with a matching name; `base_path` makes `name=value` folders below it columns.
-    Charsets beyond the reader's own need `spark.sql.legacy.javaCharsets`; where the session
-    does not set it, lines are decoded in Arrow batches and then parsed (no line breaks inside
-    quotes in that case).
+    the files with a matching name. Charsets beyond the reader's own need
+    `spark.sql.legacy.javaCharsets`; where the session does not set it, lines are decoded in Arrow
+    batches and then parsed (no line breaks inside quotes in that case).
     """
     options = {"pathGlobFilter": glob} if glob else {}
-    if base_path:
-        options["basePath"] = base_path
     if charset.lower() in READER_CHARSETS or _java_charsets(spark):
         reader = spark.read.options(header=header, encoding=charset, **options)
         return (reader.schema(schema) if schema else reader).csv(paths)
