@@ -3,7 +3,7 @@
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..functions import classify_day_type, month_key
+from ..functions import classify_day_type, in_months
 from ..functions.fixed_values import BUS_COLUMNS, INPUT_FILES, KOREAN, SUBWAY_COLUMNS, WEATHER_COLUMNS
 from ..session import new_folder
 from ..sinks import write_csv
@@ -121,7 +121,7 @@ def mixed_charsets(spark: SparkSession, sf: str) -> str:
 
 def raw_month(spark: SparkSession, sf: str, month: str) -> str:
     """The four raw CSV files of a month, under their published names and columns."""
-    log = events.log(spark, sf).filter(month_key(F.col("day")) == month)
+    log = events.log(spark, sf).filter(in_months(F.col("day"), month))
     number = F.date_format("day", "yyyyMMdd")
     path = new_folder(spark, "raw-month")
 

@@ -202,11 +202,13 @@ def sink_month_table(spark: SparkSession, sf: str) -> DataFrame:
 select use_date as "사용일자", rain_day as "RN_DAY", rain_class as "IS_RAINY", day_type as "평일여부",
        mode_a as "버스승객수", mode_b as "지하철승객수" from d""")
 def sink_csv_export(spark: SparkSession, sf: str) -> DataFrame:
-    """The published CSV: one file, BOM, Korean names and labels."""
+    """The published CSV of the stored table: one file, BOM, Korean names and labels."""
     rules = plans.Rules(ev.RULES.heavy_from, ev.RULES.light_above, labels=fv.KOREAN)
     daily = plans.daily_condition_table(ev.merged_in_one_pass(spark, sf), rules)
-    path = new_folder(spark, "csv-export")
-    sinks.write_csv(plans.published_names(daily), path, bom=True, single_file=True)
+    table, path = new_folder(spark, "daily-table"), new_folder(spark, "csv-export")
+    sinks.write_month_table(daily, table)
+    stored = src.read_month_table(spark, table, plans.DAILY_SCHEMA)
+    sinks.write_csv(plans.published_names(stored), path, bom=True, single_file=True)
     names = list(fv.PUBLISHED_NAMES.values())
     types = ("DATE", "DOUBLE", "STRING", "STRING", "BIGINT", "BIGINT")
     ddl = ", ".join(f"`{n}` {t}" for n, t in zip(names, types, strict=True))

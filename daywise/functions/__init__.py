@@ -9,6 +9,7 @@ from .classify import (
 from .cleaning import cast_lenient, fill_nulls, null_sentinels
 from .dates import (
     day_from_stamp,
+    in_months,
     is_weekend,
     month_key,
     parse_day,
@@ -26,6 +27,7 @@ __all__ = [
     "classify_wet",
     "day_from_stamp",
     "fill_nulls",
+    "in_months",
     "is_weekend",
     "month_key",
     "null_sentinels",

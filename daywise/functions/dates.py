@@ -26,6 +26,16 @@ def month_key(day: Column) -> Column:
     return F.date_format(day, MONTH_FORMAT)
 
 
+def in_months(day: Column, first: str, last: str | None = None) -> Column:
+    """True for days of the months `first`..`last` (`yyyyMM`).
+
+    Written as a range of days, it is pushed down to the scan, also of a timestamp cast to a day.
+    """
+    start = F.to_date(F.lit(f"{first}01"), DAY_FORMAT)
+    end = F.add_months(F.to_date(F.lit(f"{last or first}01"), DAY_FORMAT), 1)
+    return (day >= start) & (day < end)
+
+
 def is_weekend(day: Column) -> Column:
     """True on Saturday and Sunday (`dayofweek` counts from Sunday = 1)."""
     return F.dayofweek(day).isin(1, 7)

@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..functions.fixed_values import BOM
 
+SINGLE_FILE_ROWS = 1_000_000
+
 
 def write_month_table(df: DataFrame, path: str, key: str = "ym", fmt: str = "parquet") -> None:
     """Replace the months that `df` holds, leave all others: a re-run changes nothing.
@@ -26,17 +28,26 @@ def write_month_table(df: DataFrame, path: str, key: str = "ym", fmt: str = "par
 def write_csv(df: DataFrame, path: str, bom: bool = False, single_file: bool = False) -> None:
     """Overwrite a folder of CSV files with header.
 
-    `bom` starts each file with a byte order mark. `single_file` sends all rows through one task:
-    only for reports and daily rows, whose number the calendar bounds.
+    `bom` starts each file with a byte order mark. `single_file` is for reports and daily rows; a
+    frame of more than `SINGLE_FILE_ROWS` rows is counted out and written in parts all the same.
     """
+    if single_file and df.limit(SINGLE_FILE_ROWS + 1).count() <= SINGLE_FILE_ROWS:
+        df = df.repartition(1)
     if bom:
         df = df.withColumnRenamed(df.columns[0], BOM + df.columns[0])
-    if single_file:
-        df = df.repartition(1)
     df.write.mode("overwrite").option("header", True).csv(path)
 
 
-def register_table(spark: SparkSession, path: str, name: str, schema: str, fmt: str = "parquet") -> DataFrame:
-    """Make a stored table known to the session by name and scan it."""
-    spark.read.schema(schema).format(fmt).load(path).createOrReplaceTempView(name)
+def register_table(
+    spark: SparkSession, path: str, name: str, schema: str, key: str = "ym", fmt: str = "parquet"
+) -> DataFrame:
+    """Make a stored month table known to the catalog by name, with all its months, and scan it.
+
+    The table is external: dropping it leaves the files.
+    """
+    spark.sql(
+        f"CREATE TABLE IF NOT EXISTS {name} ({schema}) USING {fmt} "
+        f"PARTITIONED BY (`{key}`) LOCATION '{path}'"
+    )
+    spark.sql(f"MSCK REPAIR TABLE {name}")
     return spark.table(name)

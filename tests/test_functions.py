@@ -86,6 +86,22 @@ def test_month_key_and_previous_day(spark, rows):
     assert spark.range(1).select(fn.previous_day() == F.date_sub(F.current_date(), 1)).first()[0]
 
 
+def test_months_are_pushed_down(spark, rows):
+    days = [datetime.date(2024, 11, 30), datetime.date(2024, 12, 1), datetime.date(2025, 1, 31), datetime.date(2025, 2, 1)]
+    df = numbered(rows, "DATE", days)
+    assert values(df.filter(fn.in_months(F.col("v"), "202412", "202501")), "v") == days[1:3]
+    assert values(df.filter(fn.in_months(F.col("v"), "202412")), "v") == days[1:2]
+    orders = spark.read.parquet("/root/testdata/sf0.001/orders.parquet")
+    march = orders.filter(fn.in_months(F.col("o_orderdate").cast("date"), "199603"))
+    spark.conf.set("spark.sql.maxMetadataStringLength", "1000")
+    try:
+        pushed = march._jdf.queryExecution().executedPlan().toString().partition("PushedFilters")[2]
+    finally:
+        spark.conf.unset("spark.sql.maxMetadataStringLength")
+    assert "GreaterThanOrEqual(o_orderdate,1996-03-01" in pushed
+    assert "LessThan(o_orderdate,1996-04-01" in pushed
+
+
 def test_lenient_cast(rows):
     df = numbered(rows, "STRING", ["4", "4x", "", None])
     assert values(df, fn.cast_lenient(F.col("v"), "int")) == [4, None, None, None]

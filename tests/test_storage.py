@@ -40,6 +40,11 @@ def test_table_by_name(spark, rows, tmp_path):
     path = str(tmp_path / "t")
     sinks.write_month_table(rows(TABLE, [(1, 10, "202501")]), path)
     assert rows.of(sinks.register_table(spark, path, "stored_days", TABLE)) == [(1, 10, "202501")]
+    sinks.write_month_table(rows(TABLE, [(2, 20, "202502")]), path)
+    again = sinks.register_table(spark, path, "stored_days", TABLE)
+    assert rows.of(again) == [(1, 10, "202501"), (2, 20, "202502")]
+    spark.sql("drop table stored_days")
+    assert read(spark, path).count() == 2
 
 
 def test_csv_starts_with_bom_and_is_one_file(spark, rows, tmp_path):
@@ -53,6 +58,14 @@ def test_csv_starts_with_bom_and_is_one_file(spark, rows, tmp_path):
     assert data.count(b"\n") == 20
 
 
+def test_large_export_stays_in_parts(spark, rows, tmp_path, monkeypatch):
+    monkeypatch.setattr(sinks, "SINGLE_FILE_ROWS", 10)
+    path = str(tmp_path / "c")
+    sinks.write_csv(spark.range(100).repartition(4), path, single_file=True)
+    assert len(glob.glob(f"{path}/*.csv")) == 4
+    assert src.read_csv(spark, path).count() == 100
+
+
 # The monthly run
 
 
