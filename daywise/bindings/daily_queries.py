@@ -265,8 +265,10 @@ def report_temp_sensitivity(spark: SparkSession, sf: str) -> DataFrame:
 s as (select station, day, sum(boardings) as boardings, sum(boardings) + sum(alightings) as total,
              isodow(day) >= 6 as weekend from a group by station, day),
 v as (select station,
-        cast(sum(case when not weekend then total end) as double) / nullif(count(case when not weekend then 1 end), 0) as weekday_mean,
-        cast(sum(case when weekend then total end) as double) / nullif(count(case when weekend then 1 end), 0) as weekend_mean,
+        cast(sum(case when not weekend then total end) as double)
+          / nullif(count(case when not weekend then 1 end), 0) as weekday_mean,
+        cast(sum(case when weekend then total end) as double)
+          / nullif(count(case when weekend then 1 end), 0) as weekend_mean,
         cast(sum(boardings) as double) / cast(sum(total) as double) as boarding_share
       from s group by station)
 select station, weekday_mean, weekend_mean, weekday_mean / weekend_mean as weekday_ratio, boarding_share from v""")

@@ -48,7 +48,9 @@ COLD_TO = -15.0
 
 # The weather station of the city, missing-value codes, page size, formats.
 CITY_STATION = 108
-SENTINELS = (-9.0, -99.0)
+MISSING_RAIN = -9.0
+MISSING_TEMPERATURE = -99.0
+SENTINELS = (MISSING_RAIN, MISSING_TEMPERATURE)
 PAGE_ROWS = 1000
 DAY_FORMAT = "yyyyMMdd"
 MONTH_FORMAT = "yyyyMM"

@@ -10,7 +10,15 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions import cast_lenient, day_from_stamp, fill_nulls, parse_day, parse_day_lenient
+from ..functions import (
+    cast_lenient,
+    day_from_stamp,
+    fill_nulls,
+    null_sentinels,
+    parse_day,
+    parse_day_lenient,
+)
+from ..functions.fixed_values import MISSING_TEMPERATURE
 
 
 def normalise_usage(df: DataFrame, columns: Mapping[str, object], lenient: bool = False) -> DataFrame:
@@ -79,12 +87,20 @@ def normalise_dust(df: DataFrame, keep: Mapping[str, str] | None = None) -> Data
 
 
 def normalise_weather(df: DataFrame) -> DataFrame:
-    """Weather rows as (day, station, rain, tavg, tmax, tmin)."""
-    measures = {"RN_DAY": "rain", "TA_AVG": "tavg", "TA_MAX": "tmax", "TA_MIN": "tmin"}
+    """Weather rows as (day, station, rain, tavg, tmax, tmin).
+
+    The code for a missing temperature becomes null, or the day would count as a cold wave. The one
+    for rain stays, as published; `null_sentinels` takes it out.
+    """
+    temperatures = {"TA_AVG": "tavg", "TA_MAX": "tmax", "TA_MIN": "tmin"}
     return df.select(
         parse_day(F.col("TM")).alias("day"),
         F.col("STN").cast("int").alias("station"),
-        *[cast_lenient(F.col(raw), "double").alias(name) for raw, name in measures.items()],
+        cast_lenient(F.col("RN_DAY"), "double").alias("rain"),
+        *[
+            null_sentinels(cast_lenient(F.col(raw), "double"), [MISSING_TEMPERATURE]).alias(name)
+            for raw, name in temperatures.items()
+        ],
     )
 
 
