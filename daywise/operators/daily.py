@@ -22,7 +22,7 @@ from ..functions.fixed_values import MISSING_TEMPERATURE
 
 
 def normalise_usage(df: DataFrame, columns: Mapping[str, object], lenient: bool = False) -> DataFrame:
-    """Usage rows as (day DATE, boardings BIGINT, alightings BIGINT).
+    """Usage rows as (day DATE, boardings BIGINT, alightings BIGINT), with `station` if it is named.
 
     `columns["day"]` lists candidate names; those the file has are coalesced in order.
     Malformed days and counts fail the job, or give null if `lenient`.
@@ -32,8 +32,10 @@ def normalise_usage(df: DataFrame, columns: Mapping[str, object], lenient: bool
         raise ValueError(f"none of {columns['day']} is a column")
     to_day = parse_day_lenient if lenient else parse_day
     counts = {name: F.col(f"`{columns[name]}`") for name in ("boardings", "alightings")}
+    station = [F.col(f"`{columns['station']}`").alias("station")] if "station" in columns else []
     return df.select(
         to_day(F.coalesce(*days)).alias("day"),
+        *station,
         *[
             (cast_lenient(raw, "bigint") if lenient else raw.cast("bigint")).alias(name)
             for name, raw in counts.items()

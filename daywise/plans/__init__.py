@@ -3,6 +3,7 @@ from .daily_condition import (
     Roles,
     Rules,
     daily_condition_table,
+    days_with_temperature,
     label_days,
     merge_inputs,
     merge_log,
@@ -26,6 +27,7 @@ __all__ = [
     "Roles",
     "Rules",
     "daily_condition_table",
+    "days_with_temperature",
     "heavy_rain_days",
     "label_days",
     "mean_use_by",

@@ -125,6 +125,13 @@ def daily_condition_table(merged: DataFrame, rules: Rules = Rules()) -> DataFram
     return labelled.select(*DAILY_COLUMNS)
 
 
+def days_with_temperature(merged: DataFrame, rules: Rules = Rules()) -> DataFrame:
+    """(day, day_type, tavg, total): what the temperature report compares."""
+    total = F.col("mode_a") + F.col("mode_b")
+    labelled = label_days(merged, rules)
+    return labelled.select("day", "day_type", "tavg", total.alias("total"))
+
+
 def published_names(daily: DataFrame) -> DataFrame:
     """The six columns of the published CSV under their published names."""
     return daily.select(*[F.col(c).alias(name) for c, name in fv.PUBLISHED_NAMES.items()])

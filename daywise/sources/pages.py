@@ -37,7 +37,7 @@ def page_completeness(
     """
     parsed = pages.select(*by, page_body(service, "_ignored STRING", body).alias("p"))
     rows = F.col(f"p.`{service}`.row")
-    received = F.sum(F.coalesce(F.size(rows), F.lit(0)).cast("bigint"))
+    received = F.sum(F.coalesce(F.array_size(rows), F.lit(0)).cast("bigint"))
     counts = parsed.groupBy(*by).agg(
         F.count(F.lit(1)).alias("n_pages"),
         F.count("p.RESULT.CODE").alias("n_failed"),

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from daywise import plans, session, sinks, sources as src
 from daywise.functions import fixed_values as fv
+from daywise.operators import normalise_usage
 from daywise.streaming import ingest_incremental, latest_per_key
 
 TABLE = "k BIGINT, n BIGINT, ym STRING"
@@ -110,6 +111,22 @@ def test_monthly_run(spark, rows, tmp_path):
     ]
 
 
+def test_temperature_and_station_reports_from_raw_files(spark, rows, tmp_path):
+    raw_month(tmp_path)
+    inputs = plans.read_inputs(spark, str(tmp_path), "202501")
+    days = plans.days_with_temperature(plans.merge_inputs(**inputs))
+    assert rows.of(days) == [
+        (datetime.date(2025, 1, 3), "weekday", 1.0, 40),
+        (datetime.date(2025, 1, 4), "weekend", 1.0, 52),
+        (datetime.date(2025, 1, 5), "weekend", 1.0, 64),
+    ]
+    assert [r.n_days for r in plans.report_temp_sensitivity(days).collect()] == [2]
+    bus = src.read_csv(spark, str(tmp_path / fv.INPUT_FILES["bus"].format(month="202501")), charset="cp949")
+    usage = normalise_usage(bus, {**fv.BUS_COLUMNS, "station": "RTE"})
+    profile = {r.station: r.weekday_mean for r in plans.station_profile(usage).collect()}
+    assert profile == {"r1": 5.5, "r2": 6.5}
+
+
 def test_second_month_is_added(spark, tmp_path):
     raw_month(tmp_path, "202501")
     raw_month(tmp_path, "202502")
