@@ -9,11 +9,11 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 
 def latest_per_key(df: DataFrame, key: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """One row per key, the one with the greatest `order`.
+    """One row per key, the one with the greatest `order`, without the columns of `order`.
 
     `max_by` combines on the map side, so many copies of one key never meet in one task.
     """
-    kept = F.struct(*[c for c in df.columns if c not in key])
+    kept = F.struct(*[c for c in df.columns if c not in (*key, *order)])
     newest = df.groupBy(*key).agg(F.max_by(kept, F.struct(*order)).alias("_r"))
     return newest.select(*key, "_r.*")
 
@@ -24,7 +24,8 @@ def merge_days(
     """Write a batch (columns of `schema` plus `_arrival`) into the day-partitioned table.
 
     Stored rows of the touched days are kept unless the batch has their key, so a day may come
-    in parts, and delivering it again changes nothing. Other days are neither read nor written.
+    in parts, and delivering it again changes nothing. Other days are neither read nor written, so
+    a key must stay on its day.
     """
     spark = batch.sparkSession
     incoming = batch.withColumn("_rank", F.lit(1))
@@ -41,7 +42,7 @@ def merge_days(
             {"_arrival": F.lit(None).cast(batch.schema["_arrival"].dataType), "_rank": F.lit(0)}
         )
         merged = incoming.unionByName(kept)
-    result = latest_per_key(merged, key, ["_rank", "_arrival"]).drop("_rank", "_arrival")
+    result = latest_per_key(merged, key, ["_rank", "_arrival"])
     (
         result.hint("rebalance", day)
         .write.mode("overwrite")

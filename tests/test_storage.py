@@ -220,7 +220,7 @@ def test_two_copies_in_one_batch(landing):
 
 def test_latest_keeps_nulls(rows):
     df = rows("k INT, v INT, o INT", [(1, 5, 1), (1, None, 2), (2, 7, 1)])
-    assert rows.of(latest_per_key(df, ["k"], ["o"])) == [(1, None, 2), (2, 7, 1)]
+    assert rows.of(latest_per_key(df, ["k"], ["o"])) == [(1, None), (2, 7)]
 
 
 # The shared folder
