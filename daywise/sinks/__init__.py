@@ -9,15 +9,18 @@ from ..functions.fixed_values import BOM
 SINGLE_FILE_ROWS = 1_000_000
 
 
-def write_month_table(df: DataFrame, path: str, key: str = "ym", fmt: str = "parquet") -> None:
+def write_month_table(
+    df: DataFrame, path: str, key: str = "ym", fmt: str = "parquet", rebalance: bool = True
+) -> None:
     """Replace the months that `df` holds, leave all others: a re-run changes nothing.
 
     Rebalancing gives each month few files of even size and splits a month that is much larger
-    than the rest, so no task writes a whole hot month.
+    than the rest, so no task writes a whole hot month. It shuffles the rows: switch it off for a
+    large input that already lies month by month.
     """
+    rows = df.hint("rebalance", key) if rebalance else df
     (
-        df.hint("rebalance", key)
-        .write.mode("overwrite")
+        rows.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(key)
         .format(fmt)

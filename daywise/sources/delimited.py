@@ -24,8 +24,8 @@ def read_csv(
 ) -> DataFrame:
     """Scan CSV files with explicit types, never an inference pass over the data.
 
-    Without a schema only the header line is looked at and every column is text. `glob` keeps
-    the files with a matching name. Charsets beyond the reader's own need
+    Without a schema only the header line is looked at and every column is text; files read
+    together must have the same columns in the same order. `glob` keeps the files with a matching name. Charsets beyond the reader's own need
     `spark.sql.legacy.javaCharsets`; where the session does not set it, lines are decoded in Arrow
     batches and then parsed (no line breaks inside quotes in that case).
     """

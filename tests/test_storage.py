@@ -28,6 +28,13 @@ def test_rerun_replaces_only_its_months(spark, rows, tmp_path):
     assert rows.of(read(spark, path)) == [(1, 10, "202501"), (3, 30, "202502")]
 
 
+def test_write_without_shuffle(spark, rows, tmp_path):
+    path = str(tmp_path / "t")
+    for _ in range(2):
+        sinks.write_month_table(rows(TABLE, [(1, 10, "202501"), (2, 20, "202502")]), path, rebalance=False)
+    assert rows.of(read(spark, path)) == [(1, 10, "202501"), (2, 20, "202502")]
+
+
 def test_month_scan_reads_only_its_partition(spark, rows, tmp_path):
     path = str(tmp_path / "t")
     sinks.write_month_table(rows(TABLE, [(i, i, f"2025{i:02d}") for i in range(1, 7)]), path)
