@@ -65,6 +65,9 @@ INPUT_FILES = {
 }
 INPUT_CHARSETS = {"bus": "cp949", "subway": "utf-8", "weather": "cp949", "dust": "cp949"}
 
+# cp949 holds all of euc-kr and more, and files named the latter use it.
+CHARSET_ALIASES = {"euc-kr": "cp949"}
+
 # Input column names. The bus day column depends on where the file is from.
 BUS_COLUMNS = {
     "day": ("USE_YMD", "사용일자"),

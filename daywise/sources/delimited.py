@@ -8,6 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
+from ..functions.fixed_values import CHARSET_ALIASES
 from .charset import decode_lines
 
 # Charsets the CSV reader takes without further settings.
@@ -25,10 +26,12 @@ def read_csv(
     """Scan CSV files with explicit types, never an inference pass over the data.
 
     Without a schema only the header line is looked at and every column is text; files read
-    together must have the same columns in the same order. `glob` keeps the files with a matching name. Charsets beyond the reader's own need
-    `spark.sql.legacy.javaCharsets`; where the session does not set it, lines are decoded in Arrow
-    batches and then parsed (no line breaks inside quotes in that case).
+    together must have the same columns in the same order. `glob` keeps the files with a matching
+    name. Charsets beyond the reader's own need `spark.sql.legacy.javaCharsets`; where the session
+    does not set it, lines are decoded in Arrow batches and then parsed (no line breaks inside
+    quotes in that case).
     """
+    charset = CHARSET_ALIASES.get(charset.lower(), charset)
     options = {"pathGlobFilter": glob} if glob else {}
     if charset.lower() in READER_CHARSETS or _java_charsets(spark):
         reader = spark.read.options(header=header, encoding=charset, **options)

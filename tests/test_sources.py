@@ -26,6 +26,11 @@ def folder(tmp_path):
     return write
 
 
+def test_file_named_euc_kr_with_a_wider_syllable(spark, rows, folder):
+    path = folder("a.csv", "역,n\n뷁,1\n".encode("cp949"))
+    assert rows.of(src.read_csv(spark, path, charset="EUC-KR")) == [("뷁", "1")]
+
+
 @pytest.mark.parametrize("charset", ["utf-8", "utf-8-sig", "cp949"])
 def test_csv_in_each_charset(spark, rows, folder, charset):
     path = folder("a.csv", TEXT.encode(charset))
