@@ -29,9 +29,11 @@ END_ID = 0
 # Ids of a block; a document longer than that has a block of its own.
 BLOCK_IDS = 1 << 20
 SELECT_STEP = 256
-# Encoded pieces that a worker remembers, and documents it encodes together.
-REMEMBERED = 500_000
+# Encoded pieces that a worker remembers (some 200 bytes each), documents that it encodes together,
+# and new pieces that it gives the tokenizer in a line.
+REMEMBERED = 1_000_000
 TOGETHER = 256
+LINE = 200
 
 BLOCKS = (
     "part int, block int, start long, n_docs long, n_ids long, width int, ids binary, "
@@ -135,17 +137,15 @@ class Encoder:
         return [np.array(x.ids, self.dtype).tobytes() for x in found]
 
     def _learn(self, pieces: list[str]) -> None:
-        """Encode pieces, each after a blank, in one text; it parts again where tokens begin with one."""
-        if not pieces:
-            return
-        line = _tokenizer(self.path).encode_batch_fast([" " + " ".join(pieces)], add_special_tokens=False)
-        ids = np.array(line[0].ids, self.dtype)
-        starts = np.flatnonzero(self.blank_first[ids]).tolist()
-        raw, width = ids.tobytes(), ids.itemsize
-        self.known.update(
-            (piece, raw[a * width : b * width])
-            for piece, a, b in zip(pieces, starts, [*starts[1:], len(ids)], strict=True)
-        )
+        """Encode pieces, each after a blank, some in a line; it parts again where tokens begin with one."""
+        lines = [pieces[i : i + LINE] for i in range(0, len(pieces), LINE)]
+        found = _tokenizer(self.path).encode_batch_fast([" " + " ".join(x) for x in lines], add_special_tokens=False)
+        for line, encoded in zip(lines, found):
+            ids = np.array(encoded.ids, self.dtype)
+            starts = (np.flatnonzero(self.blank_first[ids]) * ids.itemsize).tolist()
+            raw = ids.tobytes()
+            parts = zip(line, starts, [*starts[1:], len(raw)], strict=True)
+            self.known.update((piece, raw[a:b]) for piece, a, b in parts)
 
     def encode(self, texts: list[str]) -> list[bytes]:
         if not self.cut:
