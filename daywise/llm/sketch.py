@@ -93,19 +93,20 @@ def fingerprint_pairs(
     before = F.when(F.col("rank") == 0, last).otherwise(F.col("rank") - 1)
     takers = ranked.select(
         F.col("rank").alias("taker"), F.col("id").alias("taker_id"), F.col("hash").alias("taker_hash"),
-        F.expr("n_chars div 2").alias("taken"),
+        F.col("doc_id").alias("taker_doc"), F.expr("n_chars div 2").alias("taken"),
     )
-    given = ranked.select(*key, before.alias("taker")).join(takers, "taker").select(*key, "taker_id", "taker_hash", "taken")
+    given = ranked.select(*key, before.alias("taker")).join(takers, "taker").drop("taker")
     given = materialise(given, "given")
-    # Both joins by key use one exchange of the texts.
+    # Both joins by key use one exchange of the texts: they read the same columns.
+    rows = rows.drop("doc_id")
     heads = with_sketch(rows.join(given, key), "text", "next_sketch", shingle, fraction).select(
         F.col("taker_id").alias("id"), F.col("taker_hash").alias("hash"),
-        F.struct(F.expr("substring(text, 1, int(taken))").alias("head"), "next_sketch").alias("next"),
+        F.struct(F.expr("substring(text, 1, int(taken))").alias("head"), "next_sketch", F.col("taker_doc").alias("doc_id")).alias("next"),
     )
     heads = heads.groupBy(*key).agg(F.first("next").alias("next"))
     kept = F.expr("substring(text, 1, int(length(text) - length(text) div 2))")
     paired = rows.join(heads, key).select(
-        "doc_id", F.length("text").cast("long").alias("n_chars"), "text",
+        F.col("next.doc_id").alias("doc_id"), F.length("text").cast("long").alias("n_chars"), "text",
         F.concat(kept, F.col("next.head")).alias("edited"), F.col("next.next_sketch").alias("next_sketch"),
     )
     paired = with_sketch(with_sketch(paired, "text", "sketch", shingle, fraction), "edited", "edited_sketch", shingle, fraction)
