@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..session import materialise
 from .components import connected_components
+from .shared import shuffle_partitions
 
 SEED = 42
 GROUPS = 8
@@ -145,21 +146,15 @@ def links(fps: DataFrame, max_bits: int = 4, groups: int = GROUPS, cell: int = C
     if not max_bits < groups:
         raise ValueError("there must be more groups than bits that may differ")
     masks = _masks(groups, groups - max_bits)
-    coded = fps.withColumn("code", _counts_code())
+    # A row becomes one for each grid: dealt out first, so that many tasks share that.
+    coded = fps.repartition(shuffle_partitions(fps.sparkSession), "fp").withColumn("code", _counts_code())
     grid = coded.select("fp", F.posexplode(F.array(*[F.col("code").bitwiseAND(m) for m in masks])).alias("grid", "cell"))
-    found = grid.groupBy("grid", "cell").agg(
-        F.count("*").alias("n"), F.min("fp").alias("a"), F.max("fp").alias("b")
-    )
-    cells = materialise(found.filter("n > 1"), "cells")
-    near = F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= max_bits
-    pairs = cells.filter("n = 2").filter(near).select("a", "b")
-    fuller = grid.join(cells.filter(F.col("n") > 2).select("grid", "cell", "n"), ["grid", "cell"])
-    members = fuller.filter(F.col("n") <= cell).groupBy("grid", "cell").agg(F.collect_list("fp").alias("members"))
-    trees = members.select("members").mapInArrow(_spanning_links(max_bits), "a long, b long")
-    crowded = fuller.filter(F.col("n") > cell).select("fp").distinct()
-    if cells.filter(F.col("n") > cell).isEmpty():
-        return pairs.union(trees).distinct()
-    return pairs.union(trees).union(_midpoint_links(crowded, max_bits)).distinct()
+    sizes = grid.groupBy("grid", "cell").agg(F.count("*").alias("n"))
+    crowded = materialise(sizes.filter(F.col("n") > cell).select("grid", "cell"), "crowded-cells")
+    members = grid.join(crowded, ["grid", "cell"], "left_anti").groupBy("grid", "cell").agg(F.collect_list("fp").alias("members"))
+    trees = members.filter("size(members) > 1").select("members").mapInArrow(_spanning_links(max_bits), "a long, b long")
+    far = _midpoint_links(grid.join(crowded, ["grid", "cell"]).select("fp").distinct(), max_bits)
+    return trees.union(far).distinct()
 
 
 def near_duplicates(
