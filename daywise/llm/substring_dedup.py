@@ -83,7 +83,9 @@ def repeated_spans(
     found = materialise(rows.mapInArrow(spans, "doc_id long, at int, n int, hash binary"), "spans")
     place = F.struct("doc_id", "at")
     again = found.groupBy("hash").agg(F.min(place).alias("first"), F.max(place).alias("last")).filter("first <> last")
-    later = found.join(again.select("hash", "first"), "hash").filter(place != F.col("first"))
+    # Written, so that the join reads what repeats from an exchange of its own and a hot span can be split.
+    again = materialise(again.select("hash", "first"), "repeated")
+    later = found.join(again, "hash").filter(place != F.col("first"))
     return later.select("doc_id", "at", "n")
 
 
@@ -95,7 +97,7 @@ def remove_repeats(
     Whole texts are searched. Sentences end at `.`, `!`, `?` before white space and at line feeds;
     stretches without such an end are cut at words chosen by their hash. White space inside a
     sentence does not tell it from another. The first span in order of doc_id and place stays. Null texts
-    stay null; rows that share an id and a text are one document; an empty table gives no
+    stay null; rows that share an id are one document and share its cuts; an empty table gives no
     rows. A document that is a copy throughout ends up empty.
     """
     removed = repeated_spans(docs, doc_id, text, min_sentences, min_words)
