@@ -28,7 +28,7 @@ FILTER_BITS = 25
 REACH = 256
 WORDS = re.compile(r"\w+")
 # Words whose hashes a worker remembers.
-_REMEMBERED = 400_000
+_REMEMBERED = 200_000
 _known: dict[str, int] = {}
 
 
