@@ -73,7 +73,8 @@ def weather_lines(spark: SparkSession, sf: str) -> str:
 def json_pages(spark: SparkSession, sf: str) -> DataFrame:
     """Stored answers, one per request of (day, kind, page); a page has at most 1,000 rows.
 
-    The service fails on a page that holds a reading of 250 or more.
+    The service fails on a page that holds a reading of 250 or more, a gateway answers in its place
+    where one is below 0.1, and pages of even number are stored twice.
     """
     log = events.log(spark, sf)
     request = ["day", "event_type"]
@@ -81,14 +82,17 @@ def json_pages(spark: SparkSession, sf: str) -> DataFrame:
     pages = log.groupBy(*request, page.alias("page")).agg(
         F.collect_list(F.struct("event_id", "user_id", F.col("boardings").alias("cents"))).alias("row"),
         F.max("value").alias("highest"),
+        F.min("value").alias("lowest"),
     )
     announced = log.groupBy(*request).agg(F.count(F.lit(1)).alias("list_total_count"))
     answer = F.to_json(F.struct(F.struct("list_total_count", "row").alias(SERVICE)))
     failure = F.lit('{"RESULT":{"CODE":"ERROR-500","MESSAGE":"server error"}}')
     path = new_folder(spark, "json-pages")
+    body = F.when(F.col("highest") >= 250, failure).when(F.col("lowest") < 0.1, "<html>502</html>").otherwise(answer)
+    copies = F.when(F.col("page") % 2 == 0, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
     pages.join(announced, request).select(
-        *request, "page", F.when(F.col("highest") >= 250, failure).otherwise(answer).alias("body")
-    ).write.parquet(path)
+        *request, "page", body.alias("body"), F.explode(copies).alias("copy")
+    ).drop("copy").write.parquet(path)
     schema = "day DATE, event_type STRING, page BIGINT, body STRING"
     return spark.read.schema(schema).parquet(path)
 
@@ -119,21 +123,33 @@ def mixed_charsets(spark: SparkSession, sf: str) -> str:
     return path
 
 
-def raw_month(spark: SparkSession, sf: str, month: str) -> str:
-    """The four raw CSV files of a month, under their published names and columns."""
+def raw_month(spark: SparkSession, sf: str, month: str, halves: bool = False) -> str:
+    """The four raw CSV files of a month, under their published names and columns.
+
+    `halves` splits the bus file in two, as of this month and the next; the second has the column
+    names of downloads, in another order.
+    """
     log = events.log(spark, sf).filter(in_months(F.col("day"), month))
     number = F.date_format("day", "yyyyMMdd")
     path = new_folder(spark, "raw-month")
 
-    def usage(name: str, columns) -> None:
-        day, boardings, alightings = columns["day"][0], columns["boardings"], columns["alightings"]
+    def usage(name: str, columns, layout: int = 0) -> None:
+        names = [columns[k] if isinstance(columns[k], str) else columns[k][layout] for k in ("day", "boardings", "alightings")]
+        day, boardings, alightings = names
         rows = log.filter(events.kind(name)).select(
-            number.alias(day), F.col("boardings").alias(boardings), F.col("alightings").alias(alightings)
+            number.alias(day), F.col("boardings").alias(boardings), F.col("alightings").alias(alightings), "event_id"
         )
-        write_csv(rows, f"{path}/{files[name].format(month=month)}")
+        if layout:
+            rows = rows.filter("event_id % 2 = 1").select(alightings, day, boardings)
+        elif halves and name == "click":
+            rows = rows.filter("event_id % 2 = 0")
+        part = str(int(month) + layout)
+        write_csv(rows.drop("event_id"), f"{path}/{files[name].format(month=part)}")
 
     files = {"click": INPUT_FILES["bus"], "view": INPUT_FILES["subway"]}
     usage("click", BUS_COLUMNS)
+    if halves:
+        usage("click", BUS_COLUMNS, layout=1)
     usage("view", SUBWAY_COLUMNS)
     weather = events.weather(log).select(
         number.alias("TM"),

@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .. import functions as fn, operators as op, plans, sinks, sources as src
 from ..functions import fixed_values as fv
 from ..session import new_folder
-from ..streaming import ingest_incremental as ingest
+from ..streaming import ingest_incremental as ingest, read_ingested
 from . import events as ev, feeds, trade as tr
 from .registry import DAILY, DAILY_KOREAN, LOG, TRADE, query
 
@@ -98,7 +96,8 @@ def scan_catalog_table(spark: SparkSession, sf: str) -> DataFrame:
     path = new_folder(spark, "daily-table")
     daily = plans.daily_condition_table(ev.merged_in_one_pass(spark, sf), ev.RULES)
     sinks.write_month_table(daily, path)
-    return sinks.register_table(spark, path, f"daily_{uuid.uuid4().hex}", plans.DAILY_SCHEMA)
+    spark.sql("DROP TABLE IF EXISTS daywise_daily")
+    return sinks.register_table(spark, path, "daywise_daily", plans.DAILY_SCHEMA)
 
 
 @query(f"""with {LOG}
@@ -132,29 +131,35 @@ def parse_csv_positional(spark: SparkSession, sf: str) -> DataFrame:
 
 
 PAGES = f"""{LOG},
-g as (select day, event_type, event_id // 1000 as page, max(value) >= 250 as failed, count(*) as n
+g as (select day, event_type, event_id // 1000 as page,
+             case when max(value) >= 250 then 'ERROR-500' when min(value) < 0.1 then 'UNPARSABLE' end as code,
+             case when (event_id // 1000) % 2 = 0 then 2 else 1 end as copies, count(*) as n
       from u group by day, event_type, event_id // 1000)"""
 
 
 @query(f"""with {PAGES}
 select u.day, u.event_type, cast(null as varchar) as error_code, event_id, user_id, boardings as cents
 from u join g on u.day = g.day and u.event_type = g.event_type and u.event_id // 1000 = g.page
-where not failed
+join range(2) t(copy) on copy < copies
+where code is null
 union all
-select day, event_type, 'ERROR-500', null, null, null from g where failed""")
+select day, event_type, code, null, null, null from g join range(2) t(copy) on copy < copies
+where code is not null""")
 def flatten_json_pages(spark: SparkSession, sf: str) -> DataFrame:
     pages = feeds.json_pages(spark, sf)
     return src.flatten_json_pages(pages, feeds.SERVICE, feeds.PAGE_ROW, ["day", "event_type"])
 
 
 @query(f"""with {PAGES}
-select day, event_type, count(*) as n_pages, cast(sum(failed::int) as bigint) as n_failed,
-       cast(sum(case when failed then 0 else n end) as bigint) as n_rows,
-       case when sum((not failed)::int) > 0 then cast(sum(n) as bigint) end as n_announced,
-       case when sum(failed::int) = 0 then 'complete' else 'incomplete' end as status
+select day, event_type, cast(sum(copies) as bigint) as n_pages,
+       cast(sum(case when code is null then 0 else copies end) as bigint) as n_failed,
+       cast(sum(case when code is null then n else 0 end) as bigint) as n_rows,
+       case when count(*) > count(code) then cast(sum(n) as bigint) end as n_announced,
+       case when count(code) = 0 then 'complete' else 'incomplete' end as status
 from g group by day, event_type""")
 def page_completeness(spark: SparkSession, sf: str) -> DataFrame:
-    return src.page_completeness(feeds.json_pages(spark, sf), feeds.SERVICE, ["day", "event_type"])
+    pages = feeds.json_pages(spark, sf)
+    return src.page_completeness(pages, feeds.SERVICE, ["day", "event_type"], page="page")
 
 
 @query(f"""with {LOG}
@@ -180,14 +185,40 @@ def recode_files(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("""select event_type as feed, case when event_type in ('click', 'view') then 'utf-8'
   when event_type = 'error' then 'undecodable' else 'cp949' end as status
-from events group by event_type""")
+from events group by event_type
+union all select 'absent', 'skipped'""")
 def recode_status(spark: SparkSession, sf: str) -> DataFrame:
     """What became of each kind of file."""
-    status = src.file_status(spark, feeds.mixed_charsets(spark, sf))
+    path = feeds.mixed_charsets(spark, sf)
+    scanned = spark.read.option("recursiveFileLookup", "true").text(path)
+    expected = scanned.select(F.col("_metadata.file_path").alias("file")).distinct()
+    expected = expected.union(expected.limit(1).select(F.lit(f"{path}/absent/part.csv")))
+    status = src.file_status(spark, path, expected=expected)
     feed = F.element_at(F.split("file", "/"), -2).alias("feed")
     return status.select(feed, "status").distinct()
 
 
+@query(f"""with {LOG}
+select event_type as feed, event_id, case when isodow(day) >= 6 then '주말' else '평일' end as day_type, boardings
+from u where event_type <> 'error'""")
+def sink_recoded(spark: SparkSession, sf: str) -> DataFrame:
+    """Files of mixed charsets written as UTF-8 with BOM and read again."""
+    lines, _ = src.recode_lines(spark, feeds.mixed_charsets(spark, sf))
+    path = new_folder(spark, "recoded")
+    # Part names of the folders are alike: the folder goes in front.
+    parts = F.split("file", "/")
+    feed = F.concat_ws("-", F.element_at(parts, -2), F.element_at(parts, -1))
+    src.write_recoded(lines.withColumn("file", feed), path)
+    row = F.from_csv("value", "event_id STRING, day_type STRING, boardings STRING").alias("r")
+    rows = spark.read.text(path).select(F.element_at(F.split("file", "-"), 1).alias("feed"), row)
+    return rows.select(
+        "feed",
+        F.col("r.event_id").try_cast("bigint").alias("event_id"),
+        "r.day_type",
+        F.col("r.boardings").try_cast("bigint").alias("boardings"),
+    ).filter("event_id is not null")
+
+
 @query(f"with {TRADE} select trip, day, boardings, strftime(day, '%Y%m') as ym from b")
 def sink_month_table(spark: SparkSession, sf: str) -> DataFrame:
     """Write all months, then half of the rows' months again: nothing is doubled."""
@@ -202,30 +233,44 @@ def sink_month_table(spark: SparkSession, sf: str) -> DataFrame:
 select use_date as "사용일자", rain_day as "RN_DAY", rain_class as "IS_RAINY", day_type as "평일여부",
        mode_a as "버스승객수", mode_b as "지하철승객수" from d""")
 def sink_csv_export(spark: SparkSession, sf: str) -> DataFrame:
-    """The published CSV of the stored table: one file, BOM, Korean names and labels."""
+    """The published CSV of the stored table: BOM, Korean names and labels."""
     rules = plans.Rules(ev.RULES.heavy_from, ev.RULES.light_above, labels=fv.KOREAN)
     daily = plans.daily_condition_table(ev.merged_in_one_pass(spark, sf), rules)
     table, path = new_folder(spark, "daily-table"), new_folder(spark, "csv-export")
     sinks.write_month_table(daily, table)
     stored = src.read_month_table(spark, table, plans.DAILY_SCHEMA)
-    sinks.write_csv(plans.published_names(stored), path, bom=True, single_file=True)
+    sinks.write_csv(plans.published_names(stored), path, bom=True, even=True)
     names = list(fv.PUBLISHED_NAMES.values())
     types = ("DATE", "DOUBLE", "STRING", "STRING", "BIGINT", "BIGINT")
     ddl = ", ".join(f"`{n}` {t}" for n, t in zip(names, types, strict=True))
     return src.read_csv(spark, path, schema_of(spark, ddl))
 
 
-@query(f"with {DAILY} select * from d where ym = '202401'")
+@query(f"""with {DAILY}
+select * from d where ym = '202401'
+union all select * replace ('202312' as ym) from d where dust_grade = 'good'""")
 def month_run(spark: SparkSession, sf: str) -> DataFrame:
-    """The monthly run on four raw CSV files, run twice."""
+    """The monthly run on four raw CSV files, run twice beside a stored month that stays as it is."""
     raw = feeds.raw_month(spark, sf, "202401")
     folder = new_folder(spark, "month-run")
     charsets = dict.fromkeys(fv.INPUT_FILES, "utf-8")
+    daily = plans.daily_condition_table(ev.merged_in_one_pass(spark, sf), ev.RULES)
+    neighbour = daily.filter("dust_grade = 'good'").withColumn("ym", F.lit("202312"))
+    sinks.replace_months(neighbour, f"{folder}/table", ["202312"])
     for _ in range(2):
-        stored = plans.run_month(
+        plans.run_month(
             spark, raw, "202401", f"{folder}/table", f"{folder}/export", ev.STATION, ev.RULES, charsets
         )
-    return stored
+    return src.read_month_table(spark, f"{folder}/table", plans.DAILY_SCHEMA)
+
+
+@query(f"with {DAILY} select * replace ('unknown' as dust_grade, null::double as avg_pm) from d where ym = '202401'")
+def year_run(spark: SparkSession, sf: str) -> DataFrame:
+    """The yearly run on files of two months; one of them in the layout of downloads, columns in another order."""
+    folder = new_folder(spark, "year-run")
+    raw = feeds.raw_month(spark, sf, "202401", halves=True)
+    charsets = dict.fromkeys(fv.INPUT_FILES, "utf-8")
+    return plans.run_year(spark, raw, "2024", f"{folder}/table", None, ev.STATION, ev.RULES, charsets)
 
 
 @query(f"""with {LOG}
@@ -241,11 +286,21 @@ def sink_csv_overwrite(spark: SparkSession, sf: str) -> DataFrame:
     return src.read_csv(spark, path, schema)
 
 
-@query(f"with {LOG} select event_id, day, event_type, boardings, strftime(day, '%Y%m') as ym from u")
+@query(f"""with {LOG}
+select event_id, case when event_type <> 'signup' then day end as day, event_type, boardings,
+       case when event_type <> 'signup' then strftime(day, '%Y%m') end as ym,
+       event_type = 'signup' as quarantined
+from u""")
 def ingest_incremental(spark: SparkSession, sf: str) -> DataFrame:
-    """Day files taken in as a stream; then the weekend days are delivered a second time."""
+    """Day files taken in as a stream; then the weekend days are delivered a second time.
+
+    Signups come without a day, in both deliveries, and are found in the quarantine once each.
+    """
     folder = new_folder(spark, "ingest")
-    rows = ev.log(spark, sf).select("event_id", "stamp", "event_type", "boardings")
+    stamp = F.when(~ev.kind("signup"), F.col("stamp"))
+    rows = ev.log(spark, sf).select("event_id", stamp.alias("stamp"), "event_type", "boardings")
+    weekend = fn.is_weekend(F.col("day"))
+    again = ev.log(spark, sf).filter(weekend & ~ev.kind("signup")).select(*rows.columns)
 
     def take_in() -> None:
         ingest(
@@ -256,17 +311,17 @@ def ingest_incremental(spark: SparkSession, sf: str) -> DataFrame:
             .withColumn("ym", fn.month_key(F.col("day")))
             .drop("stamp"),
             table=f"{folder}/table",
-            schema=INGESTED,
-            key=["event_id"],
+            quarantine=f"{folder}/quarantine",
             checkpoint=f"{folder}/checkpoint",
         )
 
     rows.write.mode("append").option("header", True).csv(f"{folder}/landing")
     take_in()
-    weekend = rows.filter(fn.is_weekend(fn.day_from_stamp(F.col("stamp"))))
-    weekend.write.mode("append").option("header", True).csv(f"{folder}/landing")
+    again.write.mode("append").option("header", True).csv(f"{folder}/landing")
     take_in()
-    return spark.read.schema(INGESTED).parquet(f"{folder}/table")
+    table = read_ingested(spark, f"{folder}/table", INGESTED, ["event_id"])
+    lost = spark.read.schema(INGESTED).parquet(f"{folder}/quarantine").select(table.columns)
+    return table.withColumn("quarantined", F.lit(False)).unionByName(lost.withColumn("quarantined", F.lit(True)))
 
 
 INGESTED = "event_id BIGINT, event_type STRING, boardings BIGINT, day DATE, ym STRING"

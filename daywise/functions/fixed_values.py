@@ -68,11 +68,11 @@ INPUT_CHARSETS = {"bus": "cp949", "subway": "utf-8", "weather": "cp949", "dust":
 # cp949 holds all of euc-kr and more, and files named the latter use it.
 CHARSET_ALIASES = {"euc-kr": "cp949"}
 
-# Input column names. The bus day column depends on where the file is from.
+# Input column names. Those of bus files depend on where the file is from.
 BUS_COLUMNS = {
     "day": ("USE_YMD", "사용일자"),
-    "boardings": "GTON_TNOPE",
-    "alightings": "GTOFF_TNOPE",
+    "boardings": ("GTON_TNOPE", "승차총승객수"),
+    "alightings": ("GTOFF_TNOPE", "하차총승객수"),
 }
 SUBWAY_COLUMNS = {
     "day": ("사용일자",),

@@ -24,17 +24,22 @@ from ..functions.fixed_values import MISSING_TEMPERATURE
 def normalise_usage(df: DataFrame, columns: Mapping[str, object], lenient: bool = False) -> DataFrame:
     """Usage rows as (day DATE, boardings BIGINT, alightings BIGINT), with `station` if it is named.
 
-    `columns["day"]` lists candidate names; those the file has are coalesced in order.
-    Malformed days and counts fail the job, or give null if `lenient`.
+    Each entry of `columns` is a name or lists candidate names; those the file has are coalesced in
+    order. Malformed days and counts fail the job, or give null if `lenient`.
     """
-    days = [F.col(f"`{name}`") for name in columns["day"] if name in df.columns]
-    if not days:
-        raise ValueError(f"none of {columns['day']} is a column")
+
+    def first_of(name: str) -> Column:
+        names = [columns[name]] if isinstance(columns[name], str) else columns[name]
+        there = [F.col(f"`{n}`") for n in names if n in df.columns]
+        if not there:
+            raise ValueError(f"none of {names} is a column")
+        return F.coalesce(*there)
+
     to_day = parse_day_lenient if lenient else parse_day
-    counts = {name: F.col(f"`{columns[name]}`") for name in ("boardings", "alightings")}
+    counts = {name: first_of(name) for name in ("boardings", "alightings")}
     station = [F.col(f"`{columns['station']}`").alias("station")] if "station" in columns else []
     return df.select(
-        to_day(F.coalesce(*days)).alias("day"),
+        to_day(first_of("day")).alias("day"),
         *station,
         *[
             (cast_lenient(raw, "bigint") if lenient else raw.cast("bigint")).alias(name)

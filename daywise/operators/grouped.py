@@ -4,16 +4,25 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
+
+
+def exact_mean(column: str) -> Column:
+    """Mean from a decimal sum of six places; null for no values."""
+    total = F.sum(F.col(column).cast("decimal(38,6)")).cast("double")
+    return F.try_divide(total, F.count(column))
 
 
 def avg_by_category(
     df: DataFrame, category: str | Sequence[str], means: Mapping[str, str], decimals: int = 0
 ) -> DataFrame:
-    """Rounded mean per category; `means` maps a column to the name of its mean."""
+    """Rounded mean per category; `means` maps a column to the name of its mean.
+
+    Sums are decimal, so the result does not depend on the order in which tasks are merged.
+    """
     keys = [category] if isinstance(category, str) else list(category)
     return df.groupBy(*keys).agg(
-        *[F.round(F.avg(column), decimals).alias(name) for column, name in means.items()]
+        *[F.round(exact_mean(column), decimals).alias(name) for column, name in means.items()]
     )
 
 

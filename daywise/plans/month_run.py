@@ -2,58 +2,90 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
+from typing import Literal
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions import fixed_values as fv
-from ..operators import normalise_dust, normalise_usage, normalise_weather
-from ..sinks import write_csv, write_month_table
+from ..operators import normalise_dust, normalise_usage, normalise_weather, union_by_name
+from ..session import materialise
+from ..sinks import replace_months, write_csv
 from ..sources import read_csv, read_month_table, scan_month
 from .daily_condition import DAILY_SCHEMA, Rules, daily_condition_table, merge_inputs, published_names
 
 
+def read_aligned(spark: SparkSession, paths: Sequence[str], charset: str, day: Sequence[str]) -> list[DataFrame]:
+    """Files of a month or year, one frame for each layout: columns go by the names in each header.
+
+    There are as many files as months and inputs; their header lines are looked at one by one, and
+    files with the same header are scanned together.
+    """
+    found = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(list(paths)).select("path")
+    layouts: dict[tuple[str, ...], list[str]] = {}
+    for row in found.collect():
+        header = read_csv(spark, row.path, charset=charset).columns
+        layouts.setdefault(tuple(header), []).append(row.path)
+    frames = [read_csv(spark, files, charset=charset) for header, files in layouts.items() if set(day) & set(header)]
+    if not frames:
+        raise ValueError(f"no file below {list(paths)} has one of the columns {list(day)}")
+    return frames
+
+
 def read_inputs(
     spark: SparkSession,
     raw: str,
     month: str,
     charsets: Mapping[str, str] = fv.INPUT_CHARSETS,
     with_dust: bool = True,
+    weather: str | None = None,
 ) -> dict[str, DataFrame]:
     """The inputs by name, cleaned to day, station and measures.
 
-    `month` fills the file names and may be a pattern: `2025*` stacks the files of a year.
+    `month` fills the file names and may be a pattern: `2025??` stacks the monthly files of a year.
+    `weather` fills that of the weather file, if it is another. Bus files of either layout are
+    aligned by column name.
     """
 
-    def rows(name: str) -> DataFrame:
-        path = f"{raw}/{fv.INPUT_FILES[name].format(month=month)}"
-        return read_csv(spark, path, charset=charsets[name])
+    def path(name: str, part: str = month) -> str:
+        return f"{raw}/{fv.INPUT_FILES[name].format(month=part)}"
+
+    def usage(name: str, columns: Mapping[str, object], lenient: bool = False) -> DataFrame:
+        frames = read_aligned(spark, [path(name)], charsets[name], columns["day"])
+        return union_by_name([normalise_usage(frame, columns, lenient) for frame in frames])
+
+    def stacked(name: str, part: str = month) -> DataFrame:
+        return union_by_name(read_aligned(spark, [path(name, part)], charsets[name], ["TM"]))
 
     inputs = {
-        "usage_a": normalise_usage(rows("bus"), fv.BUS_COLUMNS),
-        "usage_b": normalise_usage(rows("subway"), fv.SUBWAY_COLUMNS, lenient=True),
-        "weather": normalise_weather(rows("weather")),
+        "usage_a": usage("bus", fv.BUS_COLUMNS),
+        "usage_b": usage("subway", fv.SUBWAY_COLUMNS, lenient=True),
+        "weather": normalise_weather(stacked("weather", weather or month)),
     }
     if with_dust:
-        inputs["dust"] = normalise_dust(rows("dust"))
+        inputs["dust"] = normalise_dust(stacked("dust"))
     return inputs
 
 
 def _store(
     spark: SparkSession,
     inputs: Mapping[str, DataFrame],
-    first: str,
-    last: str,
+    months: Sequence[str],
     table: str,
     export: str | None,
     station: object,
     rules: Rules,
 ) -> DataFrame:
     daily = daily_condition_table(merge_inputs(**inputs, station=station), rules)
-    write_month_table(daily, table)
-    stored = scan_month(read_month_table(spark, table, DAILY_SCHEMA), first, last)
+    # Daily rows, so the raw files are aggregated once for all months.
+    computed = materialise(daily, "daily")
+    others = computed.filter(~F.coalesce(F.col("ym").isin(list(months)), F.lit(False)))
+    if not others.isEmpty():
+        raise ValueError(f"the files hold days of other months, such as {others.first().use_date}; nothing is replaced")
+    replace_months(computed, table, months)
+    stored = scan_month(read_month_table(spark, table, DAILY_SCHEMA), months[0], months[-1])
     if export:
-        write_csv(published_names(stored), export, bom=True, single_file=True)
+        write_csv(published_names(stored), export, bom=True, even=True)
     return stored
 
 
@@ -69,11 +101,12 @@ def run_month(
 ) -> DataFrame:
     """Compute the month, replace it in the table, and return the stored rows.
 
-    Running a month again gives the same table. The export is made from the stored rows, so the
-    raw files are aggregated once.
+    Running a month again gives the same table; a month that has become empty is emptied, others
+    stay as they are, and a row of another month fails the run before anything is replaced. The
+    export is made from the stored rows, so the raw files are aggregated once.
     """
     inputs = read_inputs(spark, raw, month, charsets)
-    return _store(spark, inputs, month, month, table, export, station, rules)
+    return _store(spark, inputs, [month], table, export, station, rules)
 
 
 def run_year(
@@ -86,7 +119,12 @@ def run_year(
     rules: Rules = Rules(),
     charsets: Mapping[str, str] = fv.INPUT_CHARSETS,
     with_dust: bool = False,
+    weather: Literal["monthly", "yearly"] = "monthly",
 ) -> DataFrame:
-    """The same for all files of a year at once, by default without dust."""
-    inputs = read_inputs(spark, raw, f"{year}*", charsets, with_dust)
-    return _store(spark, inputs, f"{year}01", f"{year}12", table, export, station, rules)
+    """The same for all monthly files of a year at once, by default without dust.
+
+    All twelve months are replaced. `weather` says which weather files count where both are there.
+    """
+    inputs = read_inputs(spark, raw, f"{year}??", charsets, with_dust, year if weather == "yearly" else None)
+    months = [f"{year}{m:02d}" for m in range(1, 13)]
+    return _store(spark, inputs, months, table, export, station, rules)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from ..functions import category_ordinal, classify_day_type, fixed_values as fv
 from ..operators import avg_by_category, daily_usage, to_long
@@ -75,11 +75,13 @@ def report_temp_sensitivity(
 ) -> DataFrame:
     """Is the spread of total use wider on cold or on warm days?
 
-    Days (day, day_type, tavg, total) of one type are split at their exact median temperature.
-    As a window over daily rows, which the calendar bounds, it needs no second scan.
+    Days (day, day_type, tavg, total) of one type that have both values are split at their exact median temperature.
+    The median is a scalar subquery on the same daily sums, which adaptive execution makes once: its
+    partial counts meet in one task, the days do not.
     """
-    chosen = days.filter((F.col("day_type") == day_type) & F.col("tavg").isNotNull())
-    median = F.percentile("tavg", 0.5).over(Window.partitionBy("day_type"))
+    known = F.col("tavg").isNotNull() & F.col("total").isNotNull()
+    chosen = days.filter((F.col("day_type") == day_type) & known)
+    median = chosen.select(F.percentile("tavg", 0.5)).scalar()
     spread = F.stddev_samp("total")
     return (
         chosen.withColumn("half", F.when(F.col("tavg") <= median, "low").otherwise("high"))

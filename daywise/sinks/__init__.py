@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Sequence
 
-from ..functions.fixed_values import BOM
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-SINGLE_FILE_ROWS = 1_000_000
+from ..functions.fixed_values import BOM
 
 
 def write_month_table(
@@ -28,14 +28,25 @@ def write_month_table(
     )
 
 
-def write_csv(df: DataFrame, path: str, bom: bool = False, single_file: bool = False) -> None:
-    """Overwrite a folder of CSV files with header.
+def replace_months(df: DataFrame, path: str, months: Sequence[str], key: str = "ym") -> None:
+    """Replace exactly the given months of a Parquet table by what `df` has of them.
+
+    A month without rows is emptied, all others stay as they are. `df` is read once for each month:
+    give it daily rows that are written already.
+    """
+    for month in months:
+        rows = df.filter(F.col(key) == month).drop(key)
+        rows.hint("rebalance").write.mode("overwrite").parquet(f"{path}/{key}={month}")
+
+
+def write_csv(df: DataFrame, path: str, bom: bool = False, even: bool = False) -> None:
+    """Overwrite a folder of CSV parts, each with header.
 
-    `bom` starts each file with a byte order mark. `single_file` is for reports and daily rows; a
-    frame of more than `SINGLE_FILE_ROWS` rows is counted out and written in parts all the same.
+    `bom` starts each part with a byte order mark. `even` brings rows together in parts of about
+    the advisory size, however many there are: daily rows come out as one part.
     """
-    if single_file and df.limit(SINGLE_FILE_ROWS + 1).count() <= SINGLE_FILE_ROWS:
-        df = df.repartition(1)
+    if even:
+        df = df.hint("rebalance")
     if bom:
         df = df.withColumnRenamed(df.columns[0], BOM + df.columns[0])
     df.write.mode("overwrite").option("header", True).csv(path)

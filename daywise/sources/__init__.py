@@ -1,4 +1,4 @@
-from .charset import file_status, recode_lines
+from .charset import file_status, recode_lines, write_recoded
 from .delimited import read_csv, read_month_table, scan_month, source_folder
 from .pages import flatten_json_pages, page_completeness
 from .text import parse_csv_positional, parse_ws_text
@@ -14,4 +14,5 @@ __all__ = [
     "recode_lines",
     "scan_month",
     "source_folder",
+    "write_recoded",
 ]

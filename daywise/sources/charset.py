@@ -1,18 +1,17 @@
 """Charset detection and decoding for text files that arrive in mixed encodings.
 
 Files are scanned as lines of raw bytes, so a large one is split over many tasks. Whether a
-file is UTF-8 is an aggregate over all of its lines inside the JVM. Only files that are not
-are decoded in Python, in Arrow batches.
+file is UTF-8 is an aggregate over all of its lines. Only lines that are not are decoded, in Python
+and in Arrow batches.
 """
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, functions as F
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from ..functions.fixed_values import BOM
 from ..session import materialise
 
-# Up to this many files a scan is cut to the wanted ones by name; beyond, lines are joined.
-LISTED_FILES = 20_000
-
 
 def decode_lines(charset: str, strict: bool = False):
     """Arrow UDF from bytes to text. A line not valid in `charset` gives null, or fails if `strict`."""
@@ -43,45 +42,48 @@ def _options(glob: str | None) -> dict[str, str]:
 
 
 def raw_lines(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:
-    """(value, file): lines as undecoded bytes in a string column; a BOM is skipped."""
-    lines = spark.read.options(**_options(glob)).text(path)
-    return lines.select("value", F.col("_metadata.file_path").alias("file"))
+    """(value, file, block): lines as undecoded bytes in a string column; a BOM is skipped.
 
+    `block` is where in its file the part begins that a line was read with.
+    """
+    lines = spark.read.options(**_options(glob)).text(path)
+    return lines.select(
+        "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block")
+    )
 
-def only_files(lines: DataFrame, files: DataFrame) -> DataFrame:
-    """The lines of the given files.
 
-    A list of names, checked to be short, is a filter that keeps other files from being opened.
-    """
-    names = [row.file for row in files.select("file").limit(LISTED_FILES + 1).collect()]
-    if len(names) <= LISTED_FILES:
-        return lines.filter(F.col("file").isin(names))
-    return lines.join(files.select("file"), "file", "left_semi")
+def _decoded(fallback: str) -> Column:
+    """A line that is not valid UTF-8, decoded; others do not go through Python as text."""
+    raw = F.when(~F.is_valid_utf8("value"), F.col("value").cast("binary"))
+    return decode_lines(fallback)(raw)
 
 
 def file_status(
-    spark: SparkSession, path: str, fallback: str = "cp949", glob: str | None = None
+    spark: SparkSession,
+    path: str,
+    fallback: str = "cp949",
+    glob: str | None = None,
+    expected: DataFrame | None = None,
 ) -> DataFrame:
     """(file, status) for every file: `utf-8`, the fallback charset, or `undecodable`.
 
-    Files of zero bytes are skipped by Spark's file scans and so have no row.
+    One scan. A file is in the fallback charset if it has lines that are not UTF-8 and all of these
+    decode. Files of zero bytes have no lines: give `expected` (file, as full paths) to have those
+    and files that are missing as `skipped`.
     """
     lines = raw_lines(spark, path, glob)
-    known = materialise(
-        lines.groupBy("file").agg(F.bool_and(F.is_valid_utf8("value")).alias("utf8")), "file-utf8"
-    )
-    others = only_files(lines, known.filter(~F.col("utf8")))
-    text = decode_lines(fallback)(F.col("value").cast("binary"))
-    decodes = (
-        others.select("file", text.isNotNull().alias("ok"))
-        .groupBy("file")
-        .agg(F.bool_and("ok").alias("decodes"))
-    )
-    by_fallback = F.when(F.col("decodes"), fallback).otherwise("undecodable")
-    status = known.join(decodes, "file", "left").select(
-        "file", F.when(F.col("utf8"), "utf-8").otherwise(by_fallback).alias("status")
-    )
-    return materialise(status, "file-status")
+    valid = F.is_valid_utf8("value")
+    per_line = lines.select("file", valid.alias("utf8"), (valid | _decoded(fallback).isNotNull()).alias("ok"))
+    known = per_line.groupBy("file").agg(F.bool_and("utf8").alias("utf8"), F.bool_and("ok").alias("ok"))
+    found = F.when(F.col("utf8"), "utf-8").when(F.col("ok"), fallback).otherwise("undecodable")
+    status = materialise(known.select("file", found.alias("status")), "file-status")
+    if expected is None:
+        return status
+    # Local paths are written with one slash or three.
+    path = F.regexp_replace("file", "^file:/+", "/")
+    wanted = expected.select("file", path.alias("path"))
+    joined = wanted.join(status.select(path.alias("path"), "status"), "path", "left")
+    return joined.select("file", F.coalesce("status", F.lit("skipped")).alias("status"))
 
 
 def recode_lines(
@@ -89,14 +91,37 @@ def recode_lines(
 ) -> tuple[DataFrame, DataFrame]:
     """(lines, status): all lines of readable files as text, and what became of each file.
 
-    A file with any undecodable byte is quarantined as a whole: it gives a status and no line.
+    A file with any undecodable byte is quarantined as a whole: it gives a status and no line. In a
+    file of the fallback charset a line that is valid UTF-8 is taken as that. Lines have their
+    `block` and their place `at` among the lines of a task, so a file can be put in order.
     """
     status = file_status(spark, path, fallback, glob)
-    lines = raw_lines(spark, path, glob)
+    text = F.when(F.is_valid_utf8("value"), F.col("value")).otherwise(_decoded(fallback))
+    lines = raw_lines(spark, path, glob).select(
+        "file", text.alias("line"), "block", F.monotonically_increasing_id().alias("at")
+    )
+    # One row per file: adaptive execution sees its size and picks how to join.
+    kept = lines.join(status.filter(F.col("status") != "undecodable"), "file")
+    return kept.select("file", "status", "line", "block", "at"), status
+
 
-    def of(charset: str, text) -> DataFrame:
-        found = only_files(lines, status.filter(F.col("status") == charset))
-        return found.select("file", F.lit(charset).alias("status"), text.alias("line"))
+def write_recoded(lines: DataFrame, path: str) -> None:
+    """Write lines of `recode_lines` as UTF-8 with BOM, into a folder for each source file.
 
-    decoded = decode_lines(fallback)(F.col("value").cast("binary"))
-    return of("utf-8", F.col("value")).unionByName(of(fallback, decoded)), status
+    A folder `file=<name>` holds the file in parts, in order; the part with its beginning starts
+    with the mark. Names must differ. Lines stay in the tasks that read them.
+    """
+    name = F.element_at(F.split("file", "/"), -1)
+    ordered = lines.select(name.alias("name"), "block", "at", "line").sortWithinPartitions("name", "block", "at")
+
+    def mark(batches):
+        last = None
+        for batch in batches:
+            names, blocks, texts = (batch.column(k).to_pylist() for k in ("name", "block", "line"))
+            for i, key in enumerate(zip(names, blocks)):
+                if key != last and key[1] == 0:
+                    texts[i] = BOM + texts[i]
+                last = key
+            yield pa.RecordBatch.from_arrays([pa.array(texts, pa.string()), batch.column("name")], ["value", "file"])
+
+    ordered.mapInArrow(mark, "value string, file string").write.partitionBy("file").text(path)

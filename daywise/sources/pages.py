@@ -7,15 +7,26 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 
+# Code of a page that is no JSON, such as a gateway's error text, or is not there.
+UNPARSABLE = "UNPARSABLE"
+
+
 def page_body(service: str, row_ddl: str, body: str = "body") -> Column:
     """The page as a struct. A failed request holds `RESULT` in place of the service."""
     return F.from_json(
         body,
         f"`{service}` STRUCT<list_total_count: BIGINT, row: ARRAY<STRUCT<{row_ddl}>>>, "
-        "RESULT STRUCT<CODE: STRING, MESSAGE: STRING>",
+        "RESULT STRUCT<CODE: STRING, MESSAGE: STRING>, _corrupt STRING",
+        {"columnNameOfCorruptRecord": "_corrupt"},
     )
 
 
+def _error_code() -> Column:
+    """The service's code, or `UNPARSABLE`; null for a page that is sound."""
+    broken = F.col("p").isNull() | F.col("p._corrupt").isNotNull()
+    return F.when(broken, UNPARSABLE).otherwise(F.col("p.RESULT.CODE"))
+
+
 def flatten_json_pages(
     pages: DataFrame, service: str, row_ddl: str, keep: Sequence[str] = (), body: str = "body"
 ) -> DataFrame:
@@ -23,26 +34,37 @@ def flatten_json_pages(
     parsed = pages.select(*keep, page_body(service, row_ddl, body).alias("p"))
     return parsed.select(
         *keep,
-        F.col("p.RESULT.CODE").alias("error_code"),
+        _error_code().alias("error_code"),
         F.explode_outer(F.col(f"p.`{service}`.row")).alias("r"),
     ).select(*keep, "error_code", "r.*")
 
 
 def page_completeness(
-    pages: DataFrame, service: str, by: Sequence[str], body: str = "body"
+    pages: DataFrame, service: str, by: Sequence[str], body: str = "body", page: str | None = None
 ) -> DataFrame:
-    """Per request: pages seen and failed, rows received and announced, and whether all came.
+    """Per request: answers seen and failed, rows received and announced, and whether all came.
 
-    Only array sizes are needed, so records are never exploded.
+    `page` names a page's number or start: a page that came more than once counts once, by its
+    fullest answer. Complete is what has exactly the rows announced. Only array sizes are needed, so
+    records are never exploded.
     """
-    parsed = pages.select(*by, page_body(service, "_ignored STRING", body).alias("p"))
-    rows = F.col(f"p.`{service}`.row")
-    received = F.sum(F.coalesce(F.array_size(rows), F.lit(0)).cast("bigint"))
-    counts = parsed.groupBy(*by).agg(
-        F.count(F.lit(1)).alias("n_pages"),
-        F.count("p.RESULT.CODE").alias("n_failed"),
-        received.alias("n_rows"),
-        F.max(f"p.`{service}`.list_total_count").alias("n_announced"),
+    number = [F.col(page).alias("_page")] if page else []
+    parsed = pages.select(*by, *number, page_body(service, "_ignored STRING", body).alias("p"))
+    rows = F.coalesce(F.array_size(F.col(f"p.`{service}`.row")), F.lit(0)).cast("bigint")
+    answers = parsed.select(
+        *by, *(["_page"] if page else []), rows.alias("_rows"), _error_code().alias("_code"),
+        F.col(f"p.`{service}`.list_total_count").alias("_total"),
+    )
+    once = answers.withColumns({"_n": F.lit(1), "_failed": F.col("_code").isNotNull().cast("int")})
+    if page:
+        once = once.groupBy(*by, "_page").agg(
+            *[F.sum(c).alias(c) for c in ("_n", "_failed")], *[F.max(c).alias(c) for c in ("_rows", "_total")]
+        )
+    counts = once.groupBy(*by).agg(
+        F.sum("_n").alias("n_pages"),
+        F.sum("_failed").alias("n_failed"),
+        F.sum("_rows").alias("n_rows"),
+        F.max("_total").alias("n_announced"),
     )
-    complete = F.coalesce(F.col("n_rows") >= F.col("n_announced"), F.lit(False))
+    complete = F.coalesce(F.col("n_rows") == F.col("n_announced"), F.lit(False))
     return counts.withColumn("status", F.when(complete, "complete").otherwise("incomplete"))

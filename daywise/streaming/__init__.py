@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable, Sequence
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 
 def latest_per_key(df: DataFrame, key: Sequence[str], order: Sequence[str]) -> DataFrame:
@@ -18,38 +18,39 @@ def latest_per_key(df: DataFrame, key: Sequence[str], order: Sequence[str]) -> D
     return newest.select(*key, "_r.*")
 
 
-def merge_days(
-    batch: DataFrame, table: str, schema: str, key: Sequence[str], day: str = "day"
-) -> None:
-    """Write a batch (columns of `schema` plus `_arrival`) into the day-partitioned table.
+ARRIVAL = "_arrival STRUCT<time: TIMESTAMP, file: STRING>"
+
+
+def store_batch(batch: DataFrame, name: str, table: str, quarantine: str, day: str = "day") -> None:
+    """Write a batch as a part of its own; written again, it replaces only itself.
 
-    Stored rows of the touched days are kept unless the batch has their key, so a day may come
-    in parts, and delivering it again changes nothing. Other days are neither read nor written, so
-    a key must stay on its day.
+    Rows without a day go to the quarantine with the file they came from. Nothing stored is read or
+    rewritten, so a driver that is lost on the way leaves all earlier rows as they were.
     """
-    spark = batch.sparkSession
-    incoming = batch.withColumn("_rank", F.lit(1))
-    try:
-        stored = spark.read.schema(schema).parquet(table)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        merged = incoming
-    else:
-        # One value per calendar day: a small list, and a filter that prunes partitions.
-        touched = [r[0] for r in batch.select(day).distinct().collect()]
-        kept = stored.filter(F.col(day).isin(touched)).withColumns(
-            {"_arrival": F.lit(None).cast(batch.schema["_arrival"].dataType), "_rank": F.lit(0)}
-        )
-        merged = incoming.unionByName(kept)
-    result = latest_per_key(merged, key, ["_rank", "_arrival"])
-    (
-        result.hint("rebalance", day)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("ym", day)
-        .parquet(table)
-    )
+    known = batch.filter(F.col(day).isNotNull())
+    known.hint("rebalance", day).write.mode("overwrite").partitionBy("ym", day).parquet(f"{table}/batch={name}")
+    lost = batch.filter(F.col(day).isNull())
+    lost.hint("rebalance").write.mode("overwrite").parquet(f"{quarantine}/batch={name}")
+
+
+def read_ingested(
+    spark: SparkSession, table: str, schema: str, key: Sequence[str], days: Column | None = None
+) -> DataFrame:
+    """The newest row of each key, by time and path of the file it came in.
+
+    `days` is a condition on `day` and `ym`; other partitions are not read. A key stays on its day.
+    """
+    rows = spark.read.schema(f"{schema}, {ARRIVAL}, batch STRING").parquet(table)
+    if days is not None:
+        rows = rows.filter(days)
+    return latest_per_key(rows.drop("batch"), key, ["_arrival"])
+
+
+def compact(spark: SparkSession, table: str, schema: str, key: Sequence[str], into: str) -> None:
+    """Write the newest rows as one batch of a new table folder; the old one stays until it is given up."""
+    rows = spark.read.schema(f"{schema}, {ARRIVAL}, batch STRING").parquet(table).drop("batch")
+    newest = rows.groupBy(*key).agg(F.max_by(F.struct(*rows.columns), "_arrival").alias("_r")).select("_r.*")
+    newest.hint("rebalance", "day").write.partitionBy("ym", "day").parquet(f"{into}/batch=compacted")
 
 
 def ingest_incremental(
@@ -58,23 +59,30 @@ def ingest_incremental(
     landing_schema: str,
     prepare: Callable[[DataFrame], DataFrame],
     table: str,
-    schema: str,
-    key: Sequence[str],
+    quarantine: str,
     checkpoint: str,
     files_per_batch: int | None = None,
 ) -> None:
-    """Take in all CSV files that came since the last run, then stop.
+    """Take in all CSV files that came since the last run, then stop; `read_ingested` has the rows.
 
-    `prepare` turns raw rows into the columns of `schema`, which must include `day` and `ym`.
+    `prepare` turns raw rows into the columns of the table, which must include `day` and `ym`. Parts
+    are named after the checkpoint and the batch, so a run with a fresh checkpoint adds its parts
+    beside the old ones, and the newest row of a key is the same.
     """
     reader = spark.readStream.schema(landing_schema).option("header", True)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    arrival = F.struct("_metadata.file_modification_time", "_metadata.file_path")
+    arrival = F.struct(
+        F.col("_metadata.file_modification_time").alias("time"), F.col("_metadata.file_path").alias("file")
+    )
     rows = prepare(reader.csv(landing).withColumn("_arrival", arrival))
+    run = hashlib.sha256(checkpoint.encode()).hexdigest()[:16]
+
+    def store(batch: DataFrame, number: int) -> None:
+        store_batch(batch, f"{run}-{number}", table, quarantine)
 
     query = (
-        rows.writeStream.foreachBatch(lambda batch, _: merge_days(batch, table, schema, key))
+        rows.writeStream.foreachBatch(store)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()

@@ -101,14 +101,25 @@ def test_charset_is_decided_on_the_whole_file(spark, rows, folder):
     assert [r.status for r in status.collect()] == ["cp949"]
 
 
-def test_more_files_than_are_listed(spark, rows, folder, monkeypatch):
-    from daywise.sources import charset
+def test_recoded_files_are_written_as_utf8(spark, rows, folder):
+    import glob
 
-    monkeypatch.setattr(charset, "LISTED_FILES", 1)
-    for i in range(3):
-        folder(f"in/{i}.csv", TEXT.encode("cp949" if i else "utf-8"))
+    folder("in/a.csv", TEXT.encode("cp949"))
+    folder("in/b.csv", b"\xef\xbb\xbf" + TEXT.encode())
     lines, _ = src.recode_lines(spark, f"{folder.path}/in")
-    assert lines.count() == 9
+    src.write_recoded(lines, f"{folder.path}/out")
+    for name in ("a.csv", "b.csv"):
+        (part,) = glob.glob(f"{folder.path}/out/file={name}/*.txt")
+        with open(part, "rb") as f:
+            assert f.read().decode() == "\ufeff" + "".join(f"{line}\n" for line in TEXT.split())
+
+
+def test_expected_files_without_lines_are_skipped(spark, rows, folder):
+    folder("in/a.csv", TEXT.encode())
+    folder("in/empty.csv", b"")
+    files = [f"file://{folder.path}/in/{n}" for n in ("a.csv", "empty.csv")]
+    status = src.file_status(spark, f"{folder.path}/in", expected=rows("file STRING", [(f,) for f in files]))
+    assert rows.of(status) == [(files[0], "utf-8"), (files[1], "skipped")]
 
 
 def test_whitespace_text(spark, rows, folder):
@@ -175,6 +186,12 @@ def test_pages(spark, rows):
         ("d3", 1, 1, 0, None, "incomplete"),
         ("d4", 2, 1, 5, 5, "complete"),
     ]
+    odd = rows("day STRING, n INT, body STRING", [("d", 1, page(4, 1, 2)), ("d", 1, page(4, 1, 2)), ("e", 1, page(2, 1, 2)), ("e", 1, page(2, 1, 2)), ("f", 1, "<html>502</html>"), ("f", 2, None)])
+    assert rows.of(src.page_completeness(odd, "svc", ["day"], page="n")) == [
+        ("d", 2, 0, 2, 4, "incomplete"), ("e", 2, 0, 2, 2, "complete"), ("f", 2, 2, 0, None, "incomplete"),
+    ]
+    flat = src.flatten_json_pages(odd.filter("day = 'f'"), "svc", "id BIGINT", ["n"])
+    assert rows.of(flat) == [(1, "UNPARSABLE", None), (2, "UNPARSABLE", None)]
     flat = src.flatten_json_pages(pages, "svc", "id BIGINT", ["day"])
     assert flat.filter("day = 'd1'").agg(F.countDistinct("id")).first()[0] == 2005
     assert rows.of(flat.filter("error_code is not null")) == [

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from daywise import plans, session, sinks, sources as src
 from daywise.functions import fixed_values as fv
 from daywise.operators import normalise_usage
-from daywise.streaming import ingest_incremental, latest_per_key
+from daywise.streaming import compact, ingest_incremental, latest_per_key, read_ingested, store_batch
 
 TABLE = "k BIGINT, n BIGINT, ym STRING"
 
@@ -58,7 +58,7 @@ def test_table_by_name(spark, rows, tmp_path):
 def test_csv_starts_with_bom_and_is_one_file(spark, rows, tmp_path):
     path = str(tmp_path / "c")
     df = rows("`사용일자` DATE, n BIGINT", [(datetime.date(2025, 1, d), d) for d in range(1, 20)])
-    sinks.write_csv(df.repartition(4), path, bom=True, single_file=True)
+    sinks.write_csv(df.repartition(4), path, bom=True, even=True)
     (file,) = glob.glob(f"{path}/*.csv")
     with open(file, "rb") as f:
         data = f.read()
@@ -66,14 +66,6 @@ def test_csv_starts_with_bom_and_is_one_file(spark, rows, tmp_path):
     assert data.count(b"\n") == 20
 
 
-def test_large_export_stays_in_parts(spark, rows, tmp_path, monkeypatch):
-    monkeypatch.setattr(sinks, "SINGLE_FILE_ROWS", 10)
-    path = str(tmp_path / "c")
-    sinks.write_csv(spark.range(100).repartition(4), path, single_file=True)
-    assert len(glob.glob(f"{path}/*.csv")) == 4
-    assert src.read_csv(spark, path).count() == 100
-
-
 # The monthly run
 
 
@@ -158,6 +150,41 @@ def test_year_is_its_months(spark, rows, tmp_path):
     assert src.read_csv(spark, str(tmp_path / "d")).count() == 6
 
 
+def test_run_leaves_the_neighbour_and_empties_its_own(spark, rows, tmp_path):
+    raw_month(tmp_path, "202501")
+    raw_month(tmp_path, "202502")
+    table = str(tmp_path / "table")
+    for month in ("202501", "202502"):
+        plans.run_month(spark, str(tmp_path), month, table)
+
+    def counts():
+        stored = src.read_month_table(spark, table, plans.DAILY_SCHEMA)
+        return {r.ym: r["count"] for r in stored.groupBy("ym").count().collect()}
+
+    name = fv.INPUT_FILES["weather"].format(month="202501")
+    kept = (tmp_path / name).read_bytes()
+    late = [(tmp_path / fv.INPUT_FILES[k].format(month="202501")) for k in ("bus", "subway", "weather")]
+    for path, line in zip(late, ("20250201,r,1,1\n", "20250201,l,1,1\n", "20250201,108,1,1,1,1\n")):
+        path.write_bytes(path.read_bytes() + line.encode())
+    with pytest.raises(Exception, match="days of other months"):
+        plans.run_month(spark, str(tmp_path), "202501", table)
+    assert counts() == {"202501": 3, "202502": 3}
+    (tmp_path / name).write_bytes(kept.replace(b",108,", b",90,"))
+    plans.run_month(spark, str(tmp_path), "202501", table)
+    assert counts() == {"202502": 3}
+
+
+def test_year_takes_one_of_two_weather_files(spark, rows, tmp_path):
+    raw_month(tmp_path, "202501")
+    month, year = (tmp_path / fv.INPUT_FILES["weather"].format(month=m) for m in ("202501", "2025"))
+    year.write_bytes(month.read_bytes().replace(b"-9.0", b"30.0"))
+    rain = {}
+    for which in ("monthly", "yearly"):
+        stored = plans.run_year(spark, str(tmp_path), "2025", str(tmp_path / which), weather=which)
+        rain[which] = [r.rain_day for r in stored.orderBy("use_date").collect()]
+    assert rain == {"monthly": [0.0, 20.0, -9.0], "yearly": [0.0, 20.0, 30.0]}
+
+
 # Incremental load
 
 INGESTED = "id BIGINT, n BIGINT, day DATE, ym STRING"
@@ -186,12 +213,14 @@ class Landing:
             "id BIGINT, n BIGINT, day DATE",
             lambda raw: raw.withColumn("ym", F.date_format("day", "yyyyMM")),
             f"{self.path}/table",
-            INGESTED,
-            ["id"],
+            f"{self.path}/quarantine",
             f"{self.path}/{checkpoint}",
             files_per_batch,
         )
-        table = self.spark.read.schema(INGESTED).parquet(f"{self.path}/table")
+        return self.stored("table")
+
+    def stored(self, name):
+        table = read_ingested(self.spark, f"{self.path}/{name}", INGESTED, ["id"])
         return sorted((r.id, r.n, r.day.day) for r in table.collect())
 
 
@@ -225,6 +254,37 @@ def test_two_copies_in_one_batch(landing):
     assert landing.take_in() == [(1, 10, 1)]
 
 
+def test_rows_without_a_day_are_kept_apart(landing, spark):
+    landing.deliver("1,10,2025-01-01", "2,20,")
+    landing.take_in()
+    landing.deliver("3,30,", "4,40,2025-01-01")
+    assert landing.take_in() == [(1, 10, 1), (4, 40, 1)]
+    lost = spark.read.schema(f"{INGESTED}, _arrival STRUCT<time: TIMESTAMP, file: STRING>")
+    lost = lost.parquet(f"{landing.path}/quarantine").collect()
+    assert sorted((r.id, r._arrival.file[-7:]) for r in lost) == [(2, "001.csv"), (3, "002.csv")]
+
+
+def test_batch_written_again_replaces_itself(spark, rows, tmp_path):
+    def batch(n):
+        arrival = "_arrival STRUCT<time: TIMESTAMP, file: STRING>"
+        stamp = (datetime.datetime(2025, 1, 1), "f")
+        return rows(f"{INGESTED}, {arrival}", [(1, n, datetime.date(2025, 1, 1), "202501", stamp), (2, n, None, None, stamp)])
+
+    for n in (1, 2):
+        store_batch(batch(n), "run-0", str(tmp_path / "t"), str(tmp_path / "q"))
+    assert [r.n for r in read_ingested(spark, str(tmp_path / "t"), INGESTED, ["id"]).collect()] == [2]
+    assert spark.read.parquet(str(tmp_path / "q")).count() == 1
+
+
+def test_compaction_keeps_what_is_read(landing, spark):
+    landing.deliver("1,10,2025-01-01", "2,20,2025-01-01")
+    landing.take_in()
+    landing.deliver("1,11,2025-01-01")
+    want = landing.take_in()
+    compact(spark, f"{landing.path}/table", INGESTED, ["id"], f"{landing.path}/small")
+    assert landing.stored("small") == want == [(1, 11, 1), (2, 20, 1)]
+
+
 def test_latest_keeps_nulls(rows):
     df = rows("k INT, v INT, o INT", [(1, 5, 1), (1, None, 2), (2, 7, 1)])
     assert rows.of(latest_per_key(df, ["k"], ["o"])) == [(1, None), (2, 7)]
