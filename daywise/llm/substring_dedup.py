@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, functions as F
 from ..session import materialise
 
 MIN_SENTENCES = 2
-MIN_WORDS = 12
+MIN_WORDS = 20
 # A stretch without a sentence end is cut after words whose checksum has this many low zero bits,
 # wherever it begins, so equal passages are cut alike.
 CUT_BITS = 3
