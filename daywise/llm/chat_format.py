@@ -1,8 +1,8 @@
 """Chat formatting in budgeted windows.
 
 A conversation is rendered turn by turn and cut into windows of a token budget. Prefix sums of
-the turns' token counts choose where: a window takes the system turn, some turns before it
-as history, and as many new turns as fit. Only new turns of the assistant are under the loss mask, so each is
+the turns' token counts choose where: a window takes the system turn, a few of the turns before it
+as history, and as many new turns as then fit. Only new turns of the assistant are under the loss mask, so each is
 trained on once, however often it is repeated as history.
 
 A turn is `<|im_start|>` + role + line feed + text + `<|im_end|>` + line feed. Where a role or text holds
@@ -32,6 +32,8 @@ _ESCAPED = re.compile("|".join(f"{re.escape(c[0])}\\\\(?=\\\\*{re.escape(c[1:])}
 
 BUDGET = 512
 HISTORY_TURNS = 2
+# Tokens of a window that history may take.
+HISTORY_BUDGET = 128
 WINDOWS = (
     "conv_id long, window int, n_repeated int, n_turns int, n_tokens long, text string, "
     "loss_starts array<bigint>, loss_ends array<bigint>"
@@ -91,14 +93,17 @@ def token_counts(texts: list[str], path: str) -> list[int]:
 
 
 class _Windows:
-    """The windows of one conversation, turn after turn; holds one window and its possible history."""
+    """The windows of one conversation, turn after turn; holds one window and its possible history.
 
-    def __init__(self, conv_id, budget: int, history_turns: int):
-        self.conv_id, self.budget, self.history_turns = conv_id, budget, history_turns
+    A turn is (role, text, tokens of all turns before it, its own tokens): a span of turns has as
+    many tokens as the difference of two such prefix sums.
+    """
+
+    def __init__(self, conv_id, budget: int, history_turns: int, history_budget: int):
+        self.conv_id, self.budget, self.history_budget = conv_id, budget, history_budget
         self.system = None
         self.number, self.seen, self.before = 0, 0, 0
-        # Turns of the window and the history before it, each with the prefix sum up to it.
-        self.new, self.past = [], deque(maxlen=history_turns)
+        self.new, self.history, self.past = [], [], deque(maxlen=history_turns)
 
     def _fixed(self) -> int:
         """Tokens of the system turn, where the window doesn't begin with it."""
@@ -106,8 +111,13 @@ class _Windows:
 
     def add(self, role: str, text: str, tokens: int):
         turn = (role, text, self.before, tokens)
-        if self.new and self._fixed() + self.before + tokens - self.new[0][2] > self.budget:
-            yield self.flush()
+        if self.new:
+            first = (self.history or self.new)[0]
+            if self._fixed() + self.before + tokens - first[2] > self.budget:
+                yield self.flush()
+        if not self.new:
+            room = min(self.history_budget, self.budget - self._fixed() - tokens)
+            self.history = [t for t in self.past if self.before - t[2] <= room]
         if self.seen == 0 and role == "system":
             self.system = turn
         self.new.append(turn)
@@ -115,14 +125,7 @@ class _Windows:
         self.before += tokens
 
     def flush(self) -> tuple:
-        first, last = self.new[0], self.new[-1]
-        room = self.budget - self._fixed() - (last[2] + last[3] - first[2])
-        history = []
-        for turn in reversed(self.past):
-            if first[2] - turn[2] > room:
-                break
-            history.insert(0, turn)
-        repeated = ([self.system] if self._fixed() else []) + history
+        repeated = ([self.system] if self._fixed() else []) + self.history
         text, starts, ends, tokens = "", [], [], 0
         for i, (role, said, _, n) in enumerate([*repeated, *self.new]):
             shown, begin, end = render(role, said)
@@ -151,12 +154,12 @@ _WINDOW_KINDS = [
 
 def format_conversations(
     turns: DataFrame, tokenizer: str, budget: int = BUDGET, history_turns: int = HISTORY_TURNS,
-    conv_id: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text",
+    history_budget: int = HISTORY_BUDGET, conv_id: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text",
 ) -> DataFrame:
     """Windows of all conversations: text, loss spans [start, end) in code points, repeated turns first.
 
-    `n_repeated` turns at the start of a window are the system turn and history, all before it in
-    the conversation. A turn above the budget has a window of its own and is kept whole. Null texts
+    `n_repeated` turns at the start of a window are the system turn and history: as many of the last
+    `history_turns` as `history_budget` tokens and the first new turn allow. A turn above the budget has a window of its own and is kept whole. Null texts
     and roles are empty; rows are ordered by turn, then role and text, nulls first; repeated rows are
     turns of their own; rows without a conv_id are one conversation. An empty table gives no windows.
     A conversation goes through one task as a sorted stream, of which a window is held at a time.
@@ -176,7 +179,7 @@ def format_conversations(
                 if current is None or current.conv_id != conv:
                     if current:
                         done.append(current.flush())
-                    current = _Windows(conv, budget, history_turns)
+                    current = _Windows(conv, budget, history_turns, history_budget)
                 done.extend(current.add(who, said, n))
             yield _batch(done, _WINDOW_KINDS)
         if current:

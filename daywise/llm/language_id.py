@@ -93,7 +93,7 @@ class LanguageModel:
         """From the n-gram counts of each language. A bit's classifier is naive Bayes of its two sides."""
         names = tuple(sorted(counts))
         code = codewords(len(names))
-        table = np.array([counts[k] for k in names], float).reshape(len(names), -1)
+        table = np.array([counts[k] for k in names], float) if names else np.zeros((0, BUCKETS))
         share = (table + 0.5) / (table + 0.5).sum(1, keepdims=True) if len(names) else table
         bits = code.shape[1]
         weights = np.zeros((table.shape[1], bits), np.float32)
