@@ -31,7 +31,7 @@ BLOCK_IDS = 1 << 20
 SELECT_STEP = 256
 # Encoded pieces that a worker remembers (some 200 bytes each), documents that it encodes together,
 # and new pieces that it gives the tokenizer in a line.
-REMEMBERED = 400_000
+REMEMBERED = 600_000
 TOGETHER = 256
 LINE = 200
 
