@@ -31,7 +31,7 @@ BLOCK_IDS = 1 << 20
 SELECT_STEP = 256
 # Encoded pieces that a worker remembers (some 200 bytes each), documents that it encodes together,
 # and new pieces that it gives the tokenizer in a line.
-REMEMBERED = 600_000
+REMEMBERED = 400_000
 TOGETHER = 256
 LINE = 200
 
@@ -111,14 +111,19 @@ def _tokenizer(path: str):
 # A blank between two characters that are no white space. Byte-level BPE with the usual pattern
 # always starts a piece at such a blank, and merges never leave a piece.
 CUT = re.compile(r"(?<=\S) (?=\S)")
-# Texts without any of these can be cut at every inner blank.
-ODD = ["  ", "\n ", " \n", *(c for c in map(chr, range(0x3001)) if c.isspace() and c not in " \n")]
+# Texts without any of these can be cut at every inner blank and line feed.
+ODD = ["  ", "\n ", " \n", "\n\n", *(c for c in map(chr, range(0x3001)) if c.isspace() and c not in " \n")]
+
+
+# Marks that are a piece of their own behind a letter.
+MARKS = ".,;:!?"
 
 
 def pieces_of(text: str) -> list[str]:
-    if text[:1] == " " or text[-1:] == " " or any(c in text for c in ODD):
+    """Pieces that follow a blank, without it, or a line feed, with it; the first follows nothing."""
+    if text[:1].isspace() or text[-1:].isspace() or any(c in text for c in ODD):
         return CUT.split(text)
-    return text.split(" ")
+    return text.replace("\n", " \n").split(" ")
 
 
 class Encoder:
@@ -127,22 +132,27 @@ class Encoder:
     def __init__(self, path: str, dtype: str, cut: bool = True):
         self.path, self.dtype, self.cut = path, dtype, cut
         self.known: dict[str, bytes] = {}
-        # Ids of tokens that begin with a blank, which byte-level vocabularies write as U+0120.
-        self.blank_first = np.zeros(_tokenizer(path).get_vocab_size(), bool)
-        for token, number in _tokenizer(path).get_vocab().items():
-            self.blank_first[number] = token.startswith("\u0120")
+        # Ids of tokens that begin with a blank or line feed, in byte-level vocabularies U+0120 and U+010A.
+        vocabulary = _tokenizer(path).get_vocab()
+        self.begins = {lead: np.zeros(max(vocabulary.values()) + 1, bool) for lead in ("\u0120", "\u010a")}
+        for token, number in vocabulary.items():
+            if token[0] in self.begins:
+                self.begins[token[0]][number] = True
+        self.marks = dict(zip(MARKS, self._encode(list(MARKS)))) if cut else {}
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         found = _tokenizer(self.path).encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(x.ids, self.dtype).tobytes() for x in found]
 
-    def _learn(self, pieces: list[str]) -> None:
-        """Encode pieces, each after a blank, some in a line; it parts again where tokens begin with one."""
+    def _learn(self, pieces: list[str], lead: str, shown: str) -> None:
+        """Encode pieces, each after a lead, some in a line; it parts again where tokens begin with the lead."""
         lines = [pieces[i : i + LINE] for i in range(0, len(pieces), LINE)]
-        found = _tokenizer(self.path).encode_batch_fast([" " + " ".join(x) for x in lines], add_special_tokens=False)
+        found = _tokenizer(self.path).encode_batch_fast(
+            ["".join([lead + p for p in line]) for line in lines], add_special_tokens=False
+        )
         for line, encoded in zip(lines, found):
             ids = np.array(encoded.ids, self.dtype)
-            starts = (np.flatnonzero(self.blank_first[ids]) * ids.itemsize).tolist()
+            starts = (np.flatnonzero(self.begins[shown][ids]) * ids.itemsize).tolist()
             raw = ids.tobytes()
             parts = zip(line, starts, [*starts[1:], len(raw)], strict=True)
             self.known.update((piece, raw[a:b]) for piece, a, b in parts)
@@ -155,10 +165,14 @@ class Encoder:
         cut = [pieces_of(t) for t in texts]
         heads = self._encode([pieces.pop(0) for pieces in cut])
         new = set(chain.from_iterable(cut)).difference(self.known)
-        plain = [piece for piece in new if " " not in piece]
-        self._learn(plain)
-        rest = list(new.difference(plain))
-        self.known.update(zip(rest, self._encode([" " + piece for piece in rest])))
+        marked = [p for p in new if p[-1:] in self.marks and p[-2:-1].isalpha()]
+        new.difference_update(marked)
+        new.update(stem for p in marked if (stem := p[:-1]) not in self.known)
+        self._learn([p for p in new if p[:1] == "\n"], "", "\u010a")
+        self._learn([p for p in new if " " not in p and p[:1] != "\n"], " ", "\u0120")
+        rest = [p for p in new if " " in p]
+        self.known.update(zip(rest, self._encode([" " + p for p in rest])))
+        self.known.update([(p, self.known[p[:-1]] + self.marks[p[-1]]) for p in marked])
         return [head + b"".join(map(self.known.__getitem__, pieces)) for head, pieces in zip(heads, cut)]
 
 

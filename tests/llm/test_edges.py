@@ -125,7 +125,7 @@ def test_elias_fano_is_small_and_exact():
 
 
 def test_pieces_encode_like_whole_texts(docs):
-    odd = ["", "  a  b ", "a \n b\t c", "don 't it 's", "<|endoftext|> x<|endoftext|>", "é è　 z", "a \x1c b \x85c", " lead", "trail ", "a  b"]
+    odd = ["", "  a  b ", "a \n b\t c", "don 't it 's", "<|endoftext|> x<|endoftext|>", "é è　 z", "a \x1c b \x85c", " lead", "trail ", "a  b", "a.\nb, c\n\nd", "\nx. y", "a\n b.", "end.\nX", "e. e.\ne, \u00e9!\n"]
     assert tokens.Encoder(PATH, "<u2").encode(odd) == tokens.Encoder(PATH, "<u2", False).encode(odd)
 
 
