@@ -16,10 +16,10 @@ import re
 import zlib
 from dataclasses import dataclass
 from functools import lru_cache
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
@@ -29,11 +29,12 @@ END_ID = 0
 # Ids of a block; a document longer than that has a block of its own.
 BLOCK_IDS = 1 << 20
 SELECT_STEP = 256
-# Encoded pieces that a worker remembers (some 200 bytes each), documents that it encodes together,
-# and new pieces that it gives the tokenizer in a line.
-REMEMBERED = 400_000
-TOGETHER = 256
+# Encoded pieces that a worker remembers (some 30 bytes each), bytes of text that it encodes together,
+# new pieces that it gives the tokenizer in a line, and pieces whose ids it puts together at once.
+REMEMBERED = 1_000_000
+TOGETHER = 4 << 20
 LINE = 200
+STRETCH = 1 << 17
 
 BLOCKS = (
     "part int, block int, start long, n_docs long, n_ids long, width int, ids binary, "
@@ -111,69 +112,138 @@ def _tokenizer(path: str):
 # A blank between two characters that are no white space. Byte-level BPE with the usual pattern
 # always starts a piece at such a blank, and merges never leave a piece.
 CUT = re.compile(r"(?<=\S) (?=\S)")
-# Texts without any of these can be cut at every inner blank and line feed.
-ODD = ["  ", "\n ", " \n", "\n\n", *(c for c in map(chr, range(0x3001)) if c.isspace() and c not in " \n")]
-
-
+# Texts without any of these can be cut at every blank and before every line feed.
+ODD = "|".join(
+    [r"\A[ \n]", r"[ \n]\z", "  ", r"\n ", r" \n", r"\n\n"]
+    + [f"[{''.join(c for c in map(chr, range(0x3001)) if c.isspace() and c not in ' \n')}]"]
+)
 # Marks that are a piece of their own behind a letter.
 MARKS = ".,;:!?"
+MARKED = rf"\p{{L}}[{MARKS}]\z"
 
 
-def pieces_of(text: str) -> list[str]:
-    """Pieces that follow a blank, without it, or a line feed, with it; the first follows nothing."""
-    if text[:1].isspace() or text[-1:].isspace() or any(c in text for c in ODD):
-        return CUT.split(text)
-    return text.replace("\n", " \n").split(" ")
+def pieces_of(texts: pa.Array) -> list[tuple[np.ndarray, pa.ListArray]]:
+    """(which texts, their pieces): pieces that follow a blank, without it, or a line feed, with it.
+
+    A text's first piece follows nothing. Texts with unusual white space are cut at single blanks only.
+    """
+    odd = pc.match_substring_regex(texts, ODD)
+    plain = pc.split_pattern(pc.replace_substring(texts.filter(pc.invert(odd)), "\n", " \n"), " ")
+    rest = pa.array([CUT.split(t) for t in texts.filter(odd).to_pylist()], pa.list_(texts.type))
+    odd = odd.to_numpy(zero_copy_only=False)
+    return [(np.flatnonzero(~odd), plain), (np.flatnonzero(odd), rest)]
+
+
+def _gather(pool: np.ndarray, starts: np.ndarray, sizes: np.ndarray, room: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """(numbers, ends) of the slices of `pool` one after the other; each gets `room` places, its size if not given."""
+    room = sizes if room is None else room
+    ends = np.zeros(len(starts) + 1, np.int64)
+    np.cumsum(room, out=ends[1:])
+    found = np.zeros(ends[-1], pool.dtype)
+    for a in range(0, len(starts), STRETCH):
+        few = slice(a, a + STRETCH)
+        inner = np.arange(sizes[few].sum()) - np.repeat(np.cumsum(sizes[few]) - sizes[few], sizes[few])
+        found[np.repeat(ends[:-1][few], sizes[few]) + inner] = pool[np.repeat(starts[few], sizes[few]) + inner]
+    return found, ends
 
 
 class Encoder:
-    """Ids of texts as bytes. Pieces between blanks come from the tokenizer once and are remembered."""
+    """Ids of texts as bytes. Pieces between blanks come from the tokenizer once and are remembered.
+
+    What is known is three arrays: pieces, their ids one after the other, and where those of each end.
+    """
 
     def __init__(self, path: str, dtype: str, cut: bool = True):
         self.path, self.dtype, self.cut = path, dtype, cut
-        self.known: dict[str, bytes] = {}
+        self.words, self.pool, self.ends = pa.array([], pa.string()), np.zeros(0, dtype), np.zeros(1, np.int64)
         # Ids of tokens that begin with a blank or line feed, in byte-level vocabularies U+0120 and U+010A.
         vocabulary = _tokenizer(path).get_vocab()
         self.begins = {lead: np.zeros(max(vocabulary.values()) + 1, bool) for lead in ("\u0120", "\u010a")}
         for token, number in vocabulary.items():
             if token[0] in self.begins:
                 self.begins[token[0]][number] = True
-        self.marks = dict(zip(MARKS, self._encode(list(MARKS)))) if cut else {}
+        self.marks = np.concatenate(self._ids(list(MARKS))) if cut else np.zeros(0, dtype)
+        if cut and len(self.marks) != len(MARKS):
+            raise ValueError("not a byte-level tokenizer with an id for each mark: use cut=False")
 
-    def _encode(self, texts: list[str]) -> list[bytes]:
+    def _ids(self, texts: list[str]) -> list[np.ndarray]:
         found = _tokenizer(self.path).encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(x.ids, self.dtype).tobytes() for x in found]
+        return [np.array(x.ids, self.dtype) for x in found]
 
-    def _learn(self, pieces: list[str], lead: str, shown: str) -> None:
-        """Encode pieces, each after a lead, some in a line; it parts again where tokens begin with the lead."""
+    def _lines(self, pieces: list[str], lead: str, shown: str) -> tuple[list[np.ndarray], np.ndarray]:
+        """Ids of pieces, each after a lead, some in a line, and their sizes; a piece starts where a token begins with the lead."""
         lines = [pieces[i : i + LINE] for i in range(0, len(pieces), LINE)]
-        found = _tokenizer(self.path).encode_batch_fast(
-            ["".join([lead + p for p in line]) for line in lines], add_special_tokens=False
-        )
-        for line, encoded in zip(lines, found):
-            ids = np.array(encoded.ids, self.dtype)
-            starts = (np.flatnonzero(self.begins[shown][ids]) * ids.itemsize).tolist()
-            raw = ids.tobytes()
-            parts = zip(line, starts, [*starts[1:], len(raw)], strict=True)
-            self.known.update((piece, raw[a:b]) for piece, a, b in parts)
-
-    def encode(self, texts: list[str]) -> list[bytes]:
+        ids = self._ids(["".join([lead + p for p in line]) for line in lines])
+        sizes = [np.diff(np.flatnonzero(self.begins[shown][x]), append=len(x)) for x in ids]
+        if list(map(len, sizes)) != list(map(len, lines)):
+            raise ValueError("not a byte-level tokenizer that parts texts at blanks: use cut=False")
+        return ids, np.concatenate([*sizes, np.zeros(0, np.int64)])
+
+    def _learn(self, new: pa.Array) -> pa.Array:
+        """Add distinct new pieces; gives them in the order in which they are kept."""
+        pieces = new.to_numpy(zero_copy_only=False).tolist()
+        broken = [p for p in pieces if p[:1] == "\n"]
+        single = [p for p in pieces if p[:1] != "\n" and " " not in p]
+        rest = [p for p in pieces if p[:1] != "\n" and " " in p]
+        last = self._ids([" " + p for p in rest])
+        found = [self._lines(broken, "", "\u010a"), self._lines(single, " ", "\u0120")]
+        found.append((last, np.fromiter(map(len, last), np.int64, len(last))))
+        words = pa.array(broken + single + rest, new.type)
+        self.words = pa.concat_arrays([self.words, words])
+        self.pool = np.concatenate([self.pool, *(x for ids, _ in found for x in ids)])
+        self.ends = np.concatenate([self.ends, self.ends[-1] + np.cumsum(np.concatenate([sizes for _, sizes in found]))])
+        return words
+
+    def _places(self, pieces: pa.Array) -> np.ndarray:
+        """Where known pieces are; others are learnt. Beyond `REMEMBERED`, those not among `pieces` are forgotten."""
+        at = pc.index_in(pieces, value_set=self.words)
+        if at.null_count and len(self.words) > REMEMBERED:
+            kept = np.unique(at.drop_null().to_numpy())
+            self.words = self.words.take(pa.array(kept))
+            self.pool, self.ends = _gather(self.pool, self.ends[kept], np.diff(self.ends)[kept])
+            at = pc.index_in(pieces, value_set=self.words)
+        known = len(self.words)
+        missing = pieces.filter(at.is_null())
+        places = at.fill_null(-1).to_numpy().astype(np.int64)
+        if len(missing):
+            places[places < 0] = known + pc.index_in(missing, value_set=self._learn(missing.unique())).to_numpy()
+        return places
+
+    def _put_together(self, pieces: pa.ListArray) -> list[bytes]:
+        """Ids of texts from their pieces. Each distinct piece is looked up once, without a mark at its end."""
+        coded = pieces.flatten().dictionary_encode()
+        which = coded.indices.to_numpy()
+        firsts = pieces.offsets.to_numpy()[:-1] - pieces.offsets[0].as_py()
+        heads = self._ids(coded.dictionary.take(pa.array(which[firsts])).to_pylist())
+        follows = np.ones(len(which), bool)
+        follows[firsts] = False
+        there = np.zeros(len(coded.dictionary), bool)
+        there[which[follows]] = True
+        distinct = coded.dictionary.filter(pa.array(there))
+        marked = pc.match_substring_regex(distinct, MARKED)
+        stems = pc.if_else(marked, pc.utf8_slice_codeunits(distinct, 0, -1), distinct)
+        places = self._places(stems)
+        marked = marked.to_numpy(zero_copy_only=False)
+        starts, sizes = self.ends[places], np.diff(self.ends)[places]
+        pool, ends = _gather(self.pool, starts, sizes, sizes + marked)
+        marks = pc.utf8_slice_codeunits(distinct.filter(pa.array(marked)), -1)
+        pool[ends[1:][marked] - 1] = self.marks[pc.index_in(marks, value_set=pa.array(list(MARKS))).to_numpy()]
+        start, size = np.zeros((2, len(there)), np.int64)
+        start[there], size[there] = ends[:-1], np.diff(ends)
+        ids, ends = _gather(pool, start[which], np.where(follows, size[which], 0))
+        bounds = ends[[*firsts, len(which)]].tolist()
+        return [head.tobytes() + ids[a:b].tobytes() for head, a, b in zip(heads, bounds, bounds[1:])]
+
+    def encode(self, texts: list[str] | pa.Array) -> list[bytes]:
         if not self.cut:
-            return self._encode(texts)
-        if len(self.known) > REMEMBERED:
-            self.known.clear()
-        cut = [pieces_of(t) for t in texts]
-        heads = self._encode([pieces.pop(0) for pieces in cut])
-        new = set(chain.from_iterable(cut)).difference(self.known)
-        marked = [p for p in new if p[-1:] in self.marks and p[-2:-1].isalpha()]
-        new.difference_update(marked)
-        new.update(stem for p in marked if (stem := p[:-1]) not in self.known)
-        self._learn([p for p in new if p[:1] == "\n"], "", "\u010a")
-        self._learn([p for p in new if " " not in p and p[:1] != "\n"], " ", "\u0120")
-        rest = [p for p in new if " " in p]
-        self.known.update(zip(rest, self._encode([" " + p for p in rest])))
-        self.known.update([(p, self.known[p[:-1]] + self.marks[p[-1]]) for p in marked])
-        return [head + b"".join(map(self.known.__getitem__, pieces)) for head, pieces in zip(heads, cut)]
+            return [ids.tobytes() for ids in self._ids([str(t) for t in texts])]
+        texts = texts.cast(pa.string()) if isinstance(texts, pa.Array) else pa.array(texts, pa.string())
+        found = [b""] * len(texts)
+        for places, pieces in pieces_of(texts):
+            if len(places):
+                for place, ids in zip(places.tolist(), self._put_together(pieces)):
+                    found[place] = ids
+        return found
 
 
 @lru_cache(maxsize=2)
@@ -182,6 +252,15 @@ def _encoder(path: str, dtype: str, cut: bool) -> Encoder:
     return Encoder(path, dtype, cut)
 
 
+def _together(batch: pa.RecordBatch):
+    """Slices of a batch of about `TOGETHER` bytes of text; a longer text is in one by itself or the last."""
+    sizes = pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy().astype(np.int64)
+    group = np.cumsum(sizes) // TOGETHER
+    starts = np.flatnonzero(np.diff(group, prepend=-1)).tolist()
+    for a, b in zip(starts, [*starts[1:], len(batch)]):
+        yield batch.slice(a, b - a)
+
+
 def token_blocks(
     docs: DataFrame,
     tokenizer: str,
@@ -219,9 +298,8 @@ def token_blocks(
             return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(row, kinds)], fields)
 
         for batch in batches:
-            for at in range(0, len(batch), TOGETHER):
-                few = batch.slice(at, TOGETHER)
-                ids = encoder.encode([t or "" for t in few.column("text").to_pylist()])
+            for few in _together(batch):
+                ids = encoder.encode(pc.fill_null(few.column("text"), ""))
                 for name, one in zip(few.column("doc_id").to_pylist(), ids):
                     if held and size + len(one) // width + 1 > block_ids:
                         yield flush()

@@ -129,6 +129,13 @@ def test_pieces_encode_like_whole_texts(docs):
     assert tokens.Encoder(PATH, "<u2").encode(odd) == tokens.Encoder(PATH, "<u2", False).encode(odd)
 
 
+def test_pieces_are_forgotten_and_learnt_again(monkeypatch):
+    monkeypatch.setattr(tokens, "REMEMBERED", 3)
+    encoder, whole = tokens.Encoder(PATH, "<u2"), tokens.Encoder(PATH, "<u2", False)
+    for text in ["one two, three\nfour.", "two three five", "six\nseven. eight  nine", "two, two. one four.", "", "a"]:
+        assert encoder.encode([text, text]) == whole.encode([text, text])
+
+
 def test_sketches(docs, none):
     rows = sketch.fingerprint_pairs(docs)
     got = by_id(rows, "fingerprint", "edited_sha256", "n_chars", "near_edited", "near_next")
