@@ -31,8 +31,8 @@ BLOCK_IDS = 1 << 20
 SELECT_STEP = 256
 # Encoded pieces that a worker remembers (some 30 bytes each), bytes of text that it encodes together,
 # new pieces that it gives the tokenizer in a line, and pieces whose ids it puts together at once.
-REMEMBERED = 1_000_000
-TOGETHER = 4 << 20
+REMEMBERED = 500_000
+TOGETHER = 1 << 20
 LINE = 200
 STRETCH = 1 << 17
 
