@@ -1,7 +1,7 @@
 """Substring dedup by sliding spans of sentences.
 
-At every sentence of every document a span begins: as few sentences as there are in a run of at least
-`MIN_SENTENCES` and `MIN_WORDS` words. Spans are hashed and brought together over all documents; of equal
+At every sentence of every document a span begins and one ends: as few sentences as there are in a run of at
+least `MIN_SENTENCES` and `MIN_WORDS` words. A shorter document is one span. Spans are hashed and brought together over all documents; of equal
 spans the first stays, and sentences that any other covers are removed.
 """
 
@@ -45,14 +45,21 @@ def sentences(text: str) -> list[tuple[int, int]]:
 
 
 def _spans(text: str, places: list[tuple[int, int]], min_sentences: int, min_words: int):
-    """(first sentence, sentences, hash) of the span that begins at each sentence, where there is one."""
+    """(first sentence, sentences, hash) of the shortest spans that begin and that end at each sentence.
+
+    With those that end, the last sentences of a repeat are in a span that lies inside it. A text that
+    is shorter than any span is one.
+    """
     told = [" ".join(text[a:b].split()) for a, b in places]
     words = np.cumsum([0, *(s.count(" ") + 1 if s else 0 for s in told)])
-    for i in range(len(told)):
-        last = max(i + min_sentences, int(np.searchsorted(words, words[i] + min_words)))
-        if last > len(told):
-            break
-        yield i, last - i, xxhash.xxh3_128_digest("\n".join(told[i:last]))
+    ends = np.arange(len(words))
+    last = np.maximum(ends + min_sentences, np.searchsorted(words, words + min_words))
+    first = np.minimum(ends - min_sentences, np.searchsorted(words, words - min_words, "right") - 1)
+    found = {(i, int(j)) for i, j in enumerate(last) if j < len(words)} | {(int(i), j) for j, i in enumerate(first) if i >= 0}
+    if not found and words[-1]:
+        found = {(0, len(told))}
+    for i, j in sorted(found):
+        yield i, j - i, xxhash.xxh3_128_digest("\n".join(told[i:j]))
 
 
 def repeated_spans(

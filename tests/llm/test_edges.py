@@ -246,6 +246,22 @@ def test_repeated_spans(spark, docs, none):
     assert spans.remove_repeats(none).count() == 0
 
 
+def test_copies_end_up_empty(spark):
+    draws = random.Random(3)
+
+    def sentence(n):
+        return " ".join(f"w{draws.randrange(10**9)}" for _ in range(n)) + "."
+
+    wholes = [" ".join(sentence(n) for n in sizes) for sizes in ([15, 15, 4], [9, 9, 9, 2, 3], [22, 3], [3], [4, 5], [1] * 30)]
+    shared = " ".join(sentence(n) for n in (14, 13, 12, 2, 3))
+    texts = [*wholes, *wholes, f"{sentence(30)} {shared} {sentence(30)}", f"{sentence(8)} {shared} {sentence(8)}"]
+    table = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.text for r in spans.remove_repeats(table).collect()}
+    n = len(wholes)
+    assert [got[i] for i in range(n)] == wholes and {got[n + i] for i in range(n)} == {""}
+    assert got[2 * n] == texts[2 * n] and got[2 * n + 1] == texts[2 * n + 1].replace(shared + " ", "")
+
+
 def test_sentences_are_the_whole_text():
     for text in ("", "a", "One. Two!  Three?\n\nFour", " \n ", LONG[:5000], "x. \n y"):
         places = spans.sentences(text)
