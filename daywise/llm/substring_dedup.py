@@ -1,8 +1,9 @@
 """Substring dedup by sliding spans of sentences.
 
-At every sentence of every document a span begins and one ends: as few sentences as there are in a run of at
+Texts are cut into sentences, and long sentences into pieces by what their words are, wherever they stand.
+At every piece of every document a span begins and one ends: as few pieces as there are in a run of at
 least `MIN_SENTENCES` and `MIN_WORDS` words. A shorter document is one span. Spans are hashed and brought together over all documents; of equal
-spans the first stays, and sentences that any other covers are removed.
+spans the first stays, and pieces that any other covers are removed.
 """
 
 from __future__ import annotations
@@ -18,48 +19,82 @@ from ..session import materialise
 
 MIN_SENTENCES = 2
 MIN_WORDS = 20
-# A stretch without a sentence end is cut after words whose checksum has this many low zero bits,
-# wherever it begins, so equal passages are cut alike.
-CUT_BITS = 3
-LONG_WORDS = 24
+# In a sentence, every window of so many words is cut after its word of least hash: no piece is longer, and
+# two texts that share a passage are cut alike in it but for so many words at either end.
+WINDOW = 12
+# Words whose hashes a worker remembers.
+_REMEMBERED = 200_000
+_known: dict[str, int] = {}
 
-_END = re.compile(r"(?<=[.!?。！？])[\"'»”)\]]*\s+|\s*\n\s*")
-_WORD = re.compile(r"\S+\s*")
+_END = re.compile(r"(?<=[.!?])[\"'»”)\]]*\s+|(?<=[。！？｡])[\"'»”’）」』\])]*\s*|\s*\n\s*")
+# Scripts without white space between words: each character counts as a word.
+_UNSPACED = "\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u2e80-\u312f\u31a0-\u4dbf\u4e00-\u9fff\uf900-\ufaff\uff00-\uffef\U00020000-\U0003ffff"
+_WORD = re.compile(rf"[{_UNSPACED}]|[^\s{_UNSPACED}]+")
+
+
+def _word_hashes(words: list[str]) -> np.ndarray:
+    if len(_known) > _REMEMBERED:
+        _known.clear()
+    for word in set(words).difference(_known):
+        _known[word] = xxhash.xxh32_intdigest(word)
+    return np.fromiter(map(_known.__getitem__, words), np.uint32, len(words))
+
+
+def _pieces(text: str) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """Words; the number of words before each piece and in all; the place in the text where each piece begins, and its end.
+
+    Pieces end where sentences do, and in longer sentences at the words that their windows choose.
+    """
+    found = list(_WORD.finditer(text))
+    words = [m[0] for m in found]
+    if not words:
+        whole = [0, len(text)] if text else [0]
+        return words, np.zeros(len(whole), np.int64), np.array(whole)
+    starts = np.fromiter((m.start() for m in found), np.int64, len(found))
+    ends = np.searchsorted(starts, np.fromiter((m.end() for m in _END.finditer(text)), np.int64))
+    cuts = np.zeros(len(words) + 1, bool)
+    cuts[ends] = True
+    if len(words) >= WINDOW:
+        sentence = np.cumsum(cuts[:-1])
+        inside = np.flatnonzero(sentence[: len(words) - WINDOW + 1] == sentence[WINDOW - 1 :])
+        windows = np.lib.stride_tricks.sliding_window_view(_word_hashes(words), WINDOW)
+        for some in np.array_split(inside, len(inside) // 10_000 + 1):
+            cuts[some + windows[some].argmin(1) + 1] = True
+    cuts[[0, -1]] = True
+    before = np.flatnonzero(cuts)
+    return words, before, np.array([0, *starts[before[1:-1]], len(text)])
 
 
 def sentences(text: str) -> list[tuple[int, int]]:
-    """[start, end) of each sentence with the white space after it; together they are the whole text."""
-    bounds = [0, *(m.end() for m in _END.finditer(text)), len(text)]
-    found = []
-    for a, b in zip(bounds, bounds[1:]):
-        if a == b:
-            continue
-        words = list(_WORD.finditer(text, a, b))
-        if len(words) > LONG_WORDS:
-            for word in words[:-1]:
-                if xxhash.xxh32_intdigest(word[0].rstrip()) & ((1 << CUT_BITS) - 1) == 0:
-                    found.append((a, word.end()))
-                    a = word.end()
-        found.append((a, b))
-    return found
-
-
-def _spans(text: str, places: list[tuple[int, int]], min_sentences: int, min_words: int):
-    """(first sentence, sentences, hash) of the shortest spans that begin and that end at each sentence.
-
-    With those that end, the last sentences of a repeat are in a span that lies inside it. A text that
-    is shorter than any span is one.
+    """[start, end) of each sentence or piece of one with the white space after it; together they are the whole text."""
+    bounds = _pieces(text)[2].tolist()
+    return list(zip(bounds, bounds[1:]))
+
+
+def _spans(text: str, min_sentences: int, min_words: int) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
+    """First piece, pieces and hash of the shortest spans that begin and that end at each piece.
+
+    With those that end, the last pieces of a repeat are in a span that lies inside it. A text that
+    is shorter than any span is one. Only words are hashed, so it does not matter how a span is cut inside.
     """
-    told = [" ".join(text[a:b].split()) for a, b in places]
-    words = np.cumsum([0, *(s.count(" ") + 1 if s else 0 for s in told)])
-    ends = np.arange(len(words))
-    last = np.maximum(ends + min_sentences, np.searchsorted(words, words + min_words))
-    first = np.minimum(ends - min_sentences, np.searchsorted(words, words - min_words, "right") - 1)
-    found = {(i, int(j)) for i, j in enumerate(last) if j < len(words)} | {(int(i), j) for j, i in enumerate(first) if i >= 0}
-    if not found and words[-1]:
-        found = {(0, len(told))}
-    for i, j in sorted(found):
-        yield i, j - i, xxhash.xxh3_128_digest("\n".join(told[i:j]))
+    told, words, _ = _pieces(text)
+    if not told:
+        return words[:0], words[:0], []
+    line = " ".join(told).encode()
+    spaces = np.flatnonzero(np.frombuffer(line, np.uint8) == 32)
+    starts = np.concatenate(([0], spaces + 1, [len(line) + 1]))[words]
+    at, end = np.arange(len(words)), len(words) - 1
+    last = np.searchsorted(words, words + min_words)
+    first = np.searchsorted(words, words - min_words, "right") - 1
+    if min_sentences > 1:
+        # A piece of enough words is a span by itself.
+        least = np.where(np.diff(words) >= min_words, 1, min_sentences)
+        last[:-1] = np.maximum(last[:-1], at[:-1] + least)
+        first[1:] = np.minimum(first[1:], at[1:] - least)
+    both = np.concatenate(((at * len(words) + last)[last <= end], (first * len(words) + at)[first >= 0]))
+    begins, ends = np.divmod(np.unique(both) if len(both) else np.array([end]), len(words))
+    hashed = xxhash.xxh3_128_digest
+    return begins, ends - begins, [hashed(line[a:b]) for a, b in zip(starts[begins].tolist(), (starts[ends] - 1).tolist())]
 
 
 def repeated_spans(
@@ -67,32 +102,36 @@ def repeated_spans(
 ) -> DataFrame:
     """(doc_id, at, n) of every span that is not the first of its kind, by doc_id and place.
 
-    Spans meet by hash: first the least place of each hash, combined before the shuffle, then a join
-    of all spans with those that repeat, which adaptive execution splits where one is hot. A null id
-    is before all others.
+    Spans meet by hash. Half of it is counted first, combined before the shuffle, so that only spans that
+    may repeat are looked at further; then comes the least place of each hash, and a join of those spans with
+    it. Adaptive execution splits a hot span in both joins. A null id is before all others.
     """
 
     def spans(batches):
         for batch in batches:
             for start in range(0, len(batch), 512):
                 few = batch.slice(start, 512)
-                out = ([], [], [], [])
+                names, places, counts, hashes = [], [], [], []
                 for name, whole in zip(few.column("doc_id").to_pylist(), few.column("text").to_pylist()):
-                    if not whole:
-                        continue
-                    for at, n, digest in _spans(whole, sentences(whole), min_sentences, min_words):
-                        for column, value in zip(out, (name, at, n, digest)):
-                            column.append(value)
-                columns = [pa.array(c, k) for c, k in zip(out, (pa.int64(), pa.int32(), pa.int32(), pa.binary()))]
-                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "at", "n", "hash"])
+                    at, n, digests = _spans(whole or "", min_sentences, min_words)
+                    names.extend([name] * len(at))
+                    places.append(at)
+                    counts.append(n)
+                    hashes.extend(digests)
+                both = np.frombuffer(b"".join(hashes), np.int64).reshape(-1, 2)
+                columns = [pa.array(names, pa.int64()), *(pa.array(np.concatenate(c).astype(np.int32)) for c in (places, counts))]
+                columns += [pa.array(np.ascontiguousarray(both[:, k])) for k in (0, 1)]
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "at", "n", "hash", "more"])
 
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    found = materialise(rows.mapInArrow(spans, "doc_id long, at int, n int, hash binary"), "spans")
+    found = materialise(rows.mapInArrow(spans, "doc_id long, at int, n int, hash long, more long"), "spans")
+    # Written, so that the joins read what repeats from an exchange of its own and a hot span can be split.
+    several = materialise(found.groupBy("hash").count().filter("count > 1").select("hash"), "several")
+    found = materialise(found.join(several, "hash"), "candidates")
     place = F.struct("doc_id", "at")
-    again = found.groupBy("hash").agg(F.min(place).alias("first"), F.max(place).alias("last")).filter("first <> last")
-    # Written, so that the join reads what repeats from an exchange of its own and a hot span can be split.
-    again = materialise(again.select("hash", "first"), "repeated")
-    later = found.join(again, "hash").filter(place != F.col("first"))
+    again = found.groupBy("hash", "more").agg(F.min(place).alias("first"), F.max(place).alias("last")).filter("first <> last")
+    again = materialise(again.select("hash", "more", "first"), "repeated")
+    later = found.join(again, ["hash", "more"]).filter(place != F.col("first"))
     return later.select("doc_id", "at", "n")
 
 
@@ -101,9 +140,11 @@ def remove_repeats(
 ) -> DataFrame:
     """A row for each document: doc_id, text without covered sentences, n_sentences, n_removed, changed.
 
-    Whole texts are searched. Sentences end at `.`, `!`, `?` before white space and at line feeds;
-    stretches without such an end are cut at words chosen by their hash. White space inside a
-    sentence does not tell it from another. The first span in order of doc_id and place stays. Null texts
+    Whole texts are searched. Sentences end at `.`, `!`, `?` before white space, at ideographic marks and at
+    line feeds; sentences of `WINDOW` words or more are cut into pieces at words chosen by their hash, and
+    each piece counts as one of `n_sentences`. So a repeat that begins or ends inside a sentence is removed
+    but for under `WINDOW` words at the beginning and at most as many at the end; one of
+    2 x `WINDOW` + `min_words` words is always found. White space does not tell spans apart. The first span in order of doc_id and place stays. Null texts
     stay null; rows that share an id are one document and share its cuts; an empty table gives no
     rows. A document that is a copy throughout ends up empty.
     """

@@ -262,6 +262,31 @@ def test_copies_end_up_empty(spark):
     assert got[2 * n] == texts[2 * n] and got[2 * n + 1] == texts[2 * n + 1].replace(shared + " ", "")
 
 
+def test_repeats_inside_sentences(spark):
+    draws = random.Random(4)
+
+    def words(n, marks=True):
+        return [f"w{draws.randrange(10**9)}" + ("." if marks and draws.random() < 0.07 else "") for _ in range(n)]
+
+    texts, shared = [], []
+    for k in range(60):
+        window = words(51, k % 2)
+        shared.append(window)
+        texts += [" ".join(words(20 + k % 7, k % 2) + window + words(30, k % 2)) for _ in range(2)]
+    # No word of these is chosen by a few low bits of its hash alone; the third has no white space.
+    cycle = " ".join(["alpha beta gamma delta epsilon zeta eta"] * 10)
+    unspaced = "".join(chr(0x4E00 + draws.randrange(9000)) + "。" * (i % 9 == 8) for i in range(90))
+    texts += [cycle, cycle, f"{'始' * 5}。{unspaced}", f"{'終' * 4}。{unspaced}"]
+    got = {r.doc_id: r.text for r in spans.remove_repeats(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    for k, window in enumerate(shared):
+        assert got[2 * k] == texts[2 * k]
+        left = got[2 * k + 1].split()
+        own = [w for w in texts[2 * k + 1].split() if w not in set(window)]
+        assert [w for w in left if w not in set(window)] == own
+        assert sum(w in set(window) for w in left) < 51 / 2
+    assert got[121] == "" and got[123] == "終" * 4 + "。"
+
+
 def test_sentences_are_the_whole_text():
     for text in ("", "a", "One. Two!  Three?\n\nFour", " \n ", LONG[:5000], "x. \n y"):
         places = spans.sentences(text)
