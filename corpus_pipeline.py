@@ -31,18 +31,27 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the document of least id of each group; rows without an id stay, repeated ids come once."""
-    groups = near_duplicates(docs)
-    copies = groups.filter("doc_id <> component_id").select("doc_id").distinct()
-    named = docs.filter("doc_id is not null").join(copies, "doc_id", "left_anti").dropDuplicates(["doc_id"])
-    return named.select(docs.columns).union(docs.filter("doc_id is null"))
+    """Keep one row of each group: of least id, nulls last, then by hash of the text and of the whole row.
+
+    Rows with neither id nor text stay.
+    """
+    told = F.col("doc_id").isNotNull() | F.col("text").isNotNull()
+    key = F.struct(
+        F.col("doc_id").isNull().alias("unnamed"), F.coalesce("doc_id", F.lit(0)).alias("id"),
+        F.xxhash64("text").alias("text_hash"), F.xxhash64(*docs.columns).alias("row_hash"),
+    )
+    keyed = docs.filter(told).withColumn("_key", key)
+    groups = near_duplicates(keyed, "_key")
+    first = groups.filter("doc_id = component_id").select(F.col("doc_id").alias("_key")).distinct()
+    kept = keyed.dropDuplicates(["_key"]).join(first, "_key", "left_semi")
+    return kept.select(docs.columns).union(docs.filter(~told))
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop documents that overlap with a benchmark item."""
-    leaks = contaminated(docs, table(spark, sf_dir, "benchmark")).select("doc_id").distinct()
-    same = F.col("d.doc_id").eqNullSafe(F.col("l.doc_id"))
-    return docs.alias("d").join(leaks.alias("l"), same, "left_anti").select(docs.columns)
+    """Drop the documents that overlap with a benchmark item, told apart by a hash of id and text."""
+    keyed = docs.withColumn("_key", F.xxhash64("doc_id", "text"))
+    leaks = contaminated(keyed, table(spark, sf_dir, "benchmark"), "_key").select(F.col("doc_id").alias("_key")).distinct()
+    return keyed.join(leaks, "_key", "left_anti").select(docs.columns)
 
 
 def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -362,3 +362,21 @@ def test_pipeline_stages(spark, docs, none):
     assert mixed.columns == docs.columns
     for name, stage in corpus_pipeline.STAGES:
         assert stage(spark, none, folder).count() == 0, name
+
+
+def test_pipeline_stages_tell_rows_without_an_id_apart(spark):
+    folder = "/root/testdata/sf0.001"
+    stages = dict(corpus_pipeline.STAGES)
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    item = spark.read.parquet(f"{folder}/benchmark.parquet").orderBy("item_id").first().text
+    clean = [" ".join(f"{c}{i}" for i in range(40)) for c in "abcd"]
+    rows = [(None, item), (None, clean[0]), (1, item + " end"), (1, clean[1]), (2, clean[2])]
+    table = spark.createDataFrame([(*r, "en", "s", 1) for r in rows], schema)
+    left = stages["benchmark_decontamination"](spark, table, folder).collect()
+    assert sorted((r.doc_id or 0, r.text) for r in left) == [(0, clean[0]), (1, clean[1]), (2, clean[2])]
+    # Copies without an id, of each other and of a named document; one id with two texts; rows that differ in the source only.
+    rows = [(None, clean[0], "s"), (None, clean[0], "s"), (None, clean[1], "s"), (5, clean[1], "s"), (1, clean[2], "s"), (1, clean[3], "s"), (2, clean[3], "s"), (5, clean[1], "t")]
+    table = spark.createDataFrame([(i, t, "en", s, 1) for i, t, s in rows], schema)
+    kept = [stages["simhash_near_dedup"](spark, table.repartition(n), folder).collect() for n in (1, 5)]
+    assert sorted((r.doc_id or 0, r.text) for r in kept[0]) == [(0, clean[0]), (1, clean[2]), (1, clean[3]), (5, clean[1])]
+    assert sorted(map(str, kept[0])) == sorted(map(str, kept[1]))
