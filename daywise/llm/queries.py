@@ -9,12 +9,15 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..session import new_folder
 from .chat_format import format_conversations, read_digests
 from .decontaminate import contaminated
+from .exact_dedup import equal_texts
+from .fill_middle import fill_in_middle, restored
 from .language_id import held_out, identify, train
 from .mixing import mix
 from .sharding import shard
 from .shared import table
 from .simhash import fingerprint_hex, near_duplicates
 from .sketch import fingerprint_pairs
+from .spelling import spelling_variants
 from .substring_dedup import remove_repeats
 from .token_output import read_index, write_tokens
 from .url_filter import judge, rules
@@ -27,11 +30,18 @@ URL_RULES = [("block", "net/"), ("allow", "example.net/en/"), ("block", "example
 PROBE = "</s>[INST] ok [/INST]"
 
 
-def query(f):
+def query(f, sql: str | None = None):
     QUERIES[f.__name__] = f
+    if sql:
+        SQL[f.__name__] = sql
     return f
 
 
+def sql_twin(sql: str):
+    """Register a query together with SQL for the same rows."""
+    return lambda f: query(f, sql)
+
+
 def tokenizer_path(name: str = TOKENIZER) -> str:
     import public_tokenizers
 
@@ -111,3 +121,42 @@ def op9_spaced_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_url_aliases(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A verdict on the URL of all pages."""
     return judge(table(spark, sf_dir, "pages"), rules(spark, URL_RULES))
+
+
+@query
+def op11_spelling_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Forms and roots of all words of six letters and five occurrences; some words of the texts lose a letter first."""
+    return spelling_variants(table(spark, sf_dir, "documents"), slip=199)
+
+
+@sql_twin("""
+with d as (select doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as t from documents)
+select doc_id, max(doc_id) over w as keep_id, count(*) over w as group_size, doc_id = max(doc_id) over w as kept, sha256(t) as text_sha256
+from d window w as (partition by t)""")
+def op12_polynomial_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The row that stays for each document."""
+    return equal_texts(table(spark, sf_dir, "documents")).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
+
+
+@sql_twin("""
+with d as (select doc_id, coalesce(text, '') as t, sha256('7:' || doc_id) as h from documents),
+u as (select *, regexp_extract_all(t, '[^\n]*\n|[^\n]+') as lines,
+             [cast('0x' || h[8 * i + 1:8 * i + 8] as bigint) for i in range(4)] as draws from d),
+c as (select *, len(lines) as n, least(draws[1] % (n + 1), draws[2] % (n + 1)) as a, greatest(draws[1] % (n + 1), draws[2] % (n + 1)) as b,
+             case when t = '' or contains(t, '<P>') or contains(t, '<S>') or contains(t, '<M>') or draws[3] % 100 >= 100 then 'plain'
+                  when draws[4] % 100 < 50 then 'spm' else 'psm' end as form from u),
+p as (select *, array_to_string(lines[1:a], '') as prefix, array_to_string(lines[a + 1:b], '') as middle,
+             array_to_string(lines[b + 1:], '') as suffix from c)
+select doc_id, n, form, case when form <> 'plain' then length(prefix) end as prefix_chars,
+       case when form <> 'plain' then length(middle) end as middle_chars,
+       sha256(case form when 'plain' then t when 'psm' then '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+              else '<S>' || suffix || '<P>' || prefix || '<M>' || middle end) as output_sha256,
+       sha256(t) as restored_sha256
+from p""")
+def op13_wavelet_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents cut by lines, put together with the middle last, and restored from that."""
+    made = fill_in_middle(table(spark, sf_dir, "documents"))
+    return made.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"),
+        F.sha2(restored(), 256).alias("restored_sha256"),
+    )
