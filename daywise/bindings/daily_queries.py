@@ -145,6 +145,24 @@ def box_stats(spark: SparkSession, sf: str) -> DataFrame:
     return op.box_stats(tr.days(spark, sf), ["day_type", "rain_class"], "mode_b")
 
 
+@query("""with q as (select l_returnflag as flag, l_linestatus as line, quantile_cont(l_extendedprice, [0.25, 0.5, 0.75]) as q
+  from lineitem group by l_returnflag, l_linestatus),
+o as (select flag, line, q, l_extendedprice as price,
+             l_extendedprice between q[1] - 1.5 * (q[3] - q[1]) and q[3] + 1.5 * (q[3] - q[1]) as inside
+      from lineitem join q on l_returnflag = flag and l_linestatus = line)
+select flag, line, count(*) as n, round(q[1], 4) as q1, round(q[2], 4) as median, round(q[3], 4) as q3,
+       min(case when inside then price end) as whisker_lo,
+       max(case when inside then price end) as whisker_hi, count(case when not inside then 1 end) as n_outliers
+from o group by flag, line, q""")
+def box_stats_raw(spark: SparkSession, sf: str) -> DataFrame:
+    """Boxes of all single readings of a few large groups."""
+    rows = spark.read.parquet(f"{sf}/lineitem.parquet").select(
+        F.col("l_returnflag").alias("flag"), F.col("l_linestatus").alias("line"), F.col("l_extendedprice").alias("price")
+    )
+    boxes = op.box_stats(rows, ["flag", "line"], "price")
+    return boxes.withColumns({c: F.round(c, 4) for c in ("q1", "median", "q3")})
+
+
 @query(f"""with {LONG},
 s as (select rain_class, transport, count(passengers) as n, avg(passengers) as m,
              stddev_samp(passengers) as sd from l group by rain_class, transport)

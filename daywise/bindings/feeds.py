@@ -1,7 +1,8 @@
 """Delivered files rendered from the given tables: CSV in several charsets, text, JSON pages."""
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, functions as F
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions import classify_day_type, in_months
 from ..functions.fixed_values import BUS_COLUMNS, INPUT_FILES, KOREAN, SUBWAY_COLUMNS, WEATHER_COLUMNS
@@ -22,8 +23,20 @@ def encode_lines(charset: str):
     return encode
 
 
-def write_lines(df: DataFrame, path: str, charset: str = "utf-8") -> None:
-    """Write column `value` as lines in any charset; the text writer keeps bytes as they are."""
+def headed(header: str):
+    """Batches of lines, in each task with the header before the first."""
+
+    def put(batches):
+        for i, batch in enumerate(batches):
+            yield pa.RecordBatch.from_arrays([pa.array([header] * (i == 0) + batch.column(0).to_pylist(), pa.string())], ["value"])
+
+    return put
+
+
+def write_lines(df: DataFrame, path: str, charset: str = "utf-8", header: str | None = None) -> None:
+    """Write column `value` as lines in any charset, each file with the header; the text writer keeps bytes as they are."""
+    if header:
+        df = df.mapInArrow(headed(header), "value string")
     if charset != "utf-8":
         df = df.select(encode_lines(charset)("value").cast("string").alias("value"))
     df.write.text(path)
@@ -97,37 +110,67 @@ def json_pages(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
+def numbered_pages(spark: SparkSession, sf: str) -> DataFrame:
+    """Stored answers by the row they begin with: 50 rows a page, and a request for each day and kind.
+
+    Every seventh page lacks its rows, every fifth begins three rows early, every fourth is stored twice, and every third of these is
+    cut short in its second copy. On every sixth day pages hold five rows more than they should.
+    """
+    log = events.log(spark, sf)
+    request = ["day", "event_type"]
+    sizes = log.groupBy(*request).agg(F.count(F.lit(1)).alias("list_total_count"))
+    page = F.explode(F.sequence(F.lit(0), F.expr("(list_total_count - 1) div 50"))).alias("page")
+    asked = sizes.select(*request, "list_total_count", page)
+    early = F.when((F.col("page") % 5 == 4), 3).otherwise(0)
+    start = F.col("page") * 50 + 1 - early
+    length = F.least(F.lit(50), F.col("list_total_count") - F.col("page") * 50) + early
+    length = F.when(F.col("page") % 7 == 6, 0).otherwise(length + F.when(F.day("day") % 6 == 0, 5).otherwise(0))
+    copies = F.when(F.col("page") % 4 == 3, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+    sent = asked.select(
+        *request, "list_total_count", "page", start.alias("start"), length.alias("n"), F.explode(copies).alias("copy")
+    ).withColumn("n", F.when((F.col("copy") == 1) & (F.col("page") % 3 == 0), F.expr("n div 2")).otherwise(F.col("n")))
+    numbers = F.expr("transform(slice(sequence(0, n), 1, n), i -> named_struct('event_id', start + i))")
+    answer = F.to_json(F.struct(F.struct("list_total_count", numbers.alias("row")).alias(SERVICE)))
+    path = new_folder(spark, "numbered-pages")
+    sent.select(*request, F.col("start").cast("bigint").alias("start"), answer.alias("body")).write.parquet(path)
+    return spark.read.schema("day DATE, event_type STRING, start BIGINT, body STRING").parquet(path)
+
+
 def mixed_charsets(spark: SparkSession, sf: str) -> str:
-    """One folder per event type: UTF-8, UTF-8 with BOM, cp949, and broken bytes for errors."""
+    """One folder per event type: UTF-8, UTF-8 with BOM, cp949, UTF-16, and broken bytes for errors.
+
+    Some of the words are, in cp949, also valid UTF-8 for other letters.
+    """
     log = events.log(spark, sf)
-    line = F.concat_ws(
-        ",", "event_id", classify_day_type(F.col("day"), KOREAN), F.col("boardings").cast("string")
-    )
+    word = odd_word()
+    line = F.concat_ws(",", "event_id", word, F.col("boardings").cast("string"))
     path = new_folder(spark, "mixed-charsets")
 
     def lines(name: str) -> DataFrame:
         return log.filter(events.kind(name)).select(line.alias("value"))
 
     write_lines(lines("click"), f"{path}/click")
-    write_csv(
-        log.filter(events.kind("view")).select(
-            "event_id", classify_day_type(F.col("day"), KOREAN).alias("평일여부"), "boardings"
-        ),
-        f"{path}/view",
-        bom=True,
-    )
+    view = log.filter(events.kind("view")).select("event_id", word.alias("평일여부"), "boardings")
+    write_csv(view, f"{path}/view", bom=True)
     write_lines(lines("purchase"), f"{path}/purchase", "cp949")
-    write_lines(lines("signup"), f"{path}/signup", "cp949")
+    signups = log.filter(events.kind("signup")).select("event_id", word.alias("평일여부"), "boardings")
+    signups.write.option("header", True).option("encoding", "UTF-16LE").csv(f"{path}/signup")
     torn = F.concat(F.col("value").cast("binary"), F.unhex(F.lit("FF"))).cast("string")
     lines("error").select(torn.alias("value")).write.text(f"{path}/error")
     return path
 
 
+def odd_word() -> Column:
+    """The type of the day, or a word whose cp949 bytes are UTF-8 for something else."""
+    third = F.col("event_id") % 3
+    return F.when(third == 1, "짜").when(third == 2, "쨩").otherwise(classify_day_type(F.col("day"), KOREAN))
+
+
 def raw_month(spark: SparkSession, sf: str, month: str, halves: bool = False) -> str:
     """The four raw CSV files of a month, under their published names and columns.
 
     `halves` splits the bus file in two, as of this month and the next; the second has the column
-    names of downloads, in another order.
+    names of downloads, in another order, and is in cp949.
     """
     log = events.log(spark, sf).filter(in_months(F.col("day"), month))
     number = F.date_format("day", "yyyyMMdd")
@@ -139,12 +182,15 @@ def raw_month(spark: SparkSession, sf: str, month: str, halves: bool = False) ->
         rows = log.filter(events.kind(name)).select(
             number.alias(day), F.col("boardings").alias(boardings), F.col("alightings").alias(alightings), "event_id"
         )
+        part = f"{path}/{files[name].format(month=str(int(month) + layout))}"
         if layout:
-            rows = rows.filter("event_id % 2 = 1").select(alightings, day, boardings)
-        elif halves and name == "click":
+            names = [alightings, day, boardings]
+            lines = rows.filter("event_id % 2 = 1").select(F.concat_ws(",", *[f"`{n}`" for n in names]).alias("value"))
+            write_lines(lines, part, "cp949", ",".join(names))
+            return
+        if halves and name == "click":
             rows = rows.filter("event_id % 2 = 0")
-        part = str(int(month) + layout)
-        write_csv(rows.drop("event_id"), f"{path}/{files[name].format(month=part)}")
+        write_csv(rows.drop("event_id"), part)
 
     files = {"click": INPUT_FILES["bus"], "view": INPUT_FILES["subway"]}
     usage("click", BUS_COLUMNS)

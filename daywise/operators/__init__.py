@@ -10,7 +10,7 @@ from .daily import (
     require_unique,
     station_weather,
 )
-from .grouped import avg_by_category, box_stats, mean_ci
+from .grouped import avg_by_category, box_stats, exact_quantiles, mean_ci, moment_mean, moment_sd, moment_sums
 from .reshape import to_long
 
 __all__ = [
@@ -22,11 +22,15 @@ __all__ = [
     "daily_merge",
     "daily_usage",
     "day_bounds",
+    "exact_quantiles",
     "filter_station",
     "join_conditions",
     "join_modes",
     "mean_ci",
     "missing_days",
+    "moment_mean",
+    "moment_sd",
+    "moment_sums",
     "month_bounds",
     "normalise_dust",
     "normalise_usage",

@@ -10,7 +10,7 @@ from .daily_condition import (
     published_names,
     table_names,
 )
-from .month_run import read_inputs, run_month, run_year
+from .month_run import UnknownLayout, read_inputs, run_month, run_year
 from .reports import (
     heavy_rain_days,
     mean_use_by,
@@ -26,6 +26,7 @@ __all__ = [
     "DAILY_SCHEMA",
     "Roles",
     "Rules",
+    "UnknownLayout",
     "daily_condition_table",
     "days_with_temperature",
     "heavy_rain_days",

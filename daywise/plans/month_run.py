@@ -2,41 +2,62 @@
 
 from __future__ import annotations
 
+import csv
+import re
 from collections.abc import Mapping, Sequence
 from typing import Literal
+from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ..functions import fixed_values as fv
 from ..operators import normalise_dust, normalise_usage, normalise_weather, union_by_name
 from ..session import materialise
 from ..sinks import replace_months, write_csv
-from ..sources import read_csv, read_month_table, scan_month
+from ..sources import file_profile, read_csv, read_month_table
+from ..sources.charset import UNDECODABLE, WIDE
 from .daily_condition import DAILY_SCHEMA, Rules, daily_condition_table, merge_inputs, published_names
 
 
-def read_aligned(spark: SparkSession, paths: Sequence[str], charset: str, day: Sequence[str]) -> list[DataFrame]:
+class UnknownLayout(ValueError):
+    """A file in no charset or with no column that says what it is; nothing is replaced."""
+
+
+def read_aligned(spark: SparkSession, paths: Sequence[str], day: Sequence[str], charset: str | None = None) -> list[DataFrame]:
     """Files of a month or year, one frame for each layout: columns go by the names in each header.
 
-    There are as many files as months and inputs; their header lines are looked at one by one, and
-    files with the same header are scanned together.
+    One job tells the charset and the header line of all files, as an aggregate over their lines; a `charset` that is given
+    holds for all. Files with the same of both are scanned together. A file that fits no charset, or whose header has
+    none of the `day` columns, fails the run. Files without a line are passed over.
     """
-    found = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(list(paths)).select("path")
-    layouts: dict[tuple[str, ...], list[str]] = {}
-    for row in found.collect():
-        header = read_csv(spark, row.path, charset=charset).columns
-        layouts.setdefault(tuple(header), []).append(row.path)
-    frames = [read_csv(spark, files, charset=charset) for header, files in layouts.items() if set(day) & set(header)]
-    if not frames:
-        raise ValueError(f"no file below {list(paths)} has one of the columns {list(day)}")
-    return frames
+    fallback = charset or list(dict.fromkeys(c for c in fv.INPUT_CHARSETS.values() if c != "utf-8"))
+    layouts: dict[tuple[str, tuple[str, ...]], list[str]] = {}
+    for row in file_profile(spark, list(paths), fallback).collect():
+        status = charset or row.status
+        path = unquote(row.file)
+        if status == UNDECODABLE:
+            raise UnknownLayout(f"{path} is in none of the charsets utf-8, utf-16 and {fallback}")
+        raw = bytes(row.header)
+        # The first line ends at the byte of the line feed, which is the second of two in big-endian files.
+        text = raw[: len(raw) - len(raw) % 2].decode(status) if status in WIDE else raw.decode(status)
+        header = next(csv.reader([text.strip("\ufeff\r\n")]), [])
+        if not set(day) & set(header):
+            raise UnknownLayout(f"{path} has none of the columns {list(day)}, but {header}")
+        layouts.setdefault((status, tuple(header)), []).append(path)
+    if not layouts:
+        raise UnknownLayout(f"no file with a line below {list(paths)}")
+    return [
+        read_csv(spark, files, T.StructType([T.StructField(c, T.StringType()) for c in header]), charset=status)
+        for (status, header), files in sorted(layouts.items())
+    ]
 
 
 def read_inputs(
     spark: SparkSession,
     raw: str,
     month: str,
-    charsets: Mapping[str, str] = fv.INPUT_CHARSETS,
+    charsets: Mapping[str, str] | None = None,
     with_dust: bool = True,
     weather: str | None = None,
 ) -> dict[str, DataFrame]:
@@ -44,18 +65,19 @@ def read_inputs(
 
     `month` fills the file names and may be a pattern: `2025??` stacks the monthly files of a year.
     `weather` fills that of the weather file, if it is another. Bus files of either layout are
-    aligned by column name.
+    aligned by column name. Each file's charset is found out; `charsets` sets that of an input for all its files.
     """
+    charsets = charsets or {}
 
     def path(name: str, part: str = month) -> str:
         return f"{raw}/{fv.INPUT_FILES[name].format(month=part)}"
 
     def usage(name: str, columns: Mapping[str, object], lenient: bool = False) -> DataFrame:
-        frames = read_aligned(spark, [path(name)], charsets[name], columns["day"])
+        frames = read_aligned(spark, [path(name)], columns["day"], charsets.get(name))
         return union_by_name([normalise_usage(frame, columns, lenient) for frame in frames])
 
     def stacked(name: str, part: str = month) -> DataFrame:
-        return union_by_name(read_aligned(spark, [path(name, part)], charsets[name], ["TM"]))
+        return union_by_name(read_aligned(spark, [path(name, part)], ["TM"], charsets.get(name)))
 
     inputs = {
         "usage_a": usage("bus", fv.BUS_COLUMNS),
@@ -67,6 +89,25 @@ def read_inputs(
     return inputs
 
 
+def months_with_files(spark: SparkSession, raw: str, year: str, names: Sequence[str]) -> dict[str, set[str]]:
+    """The months of a year that each input has a file for that is not empty, by the names of its files."""
+    found = {}
+    for name in names:
+        before, after = fv.INPUT_FILES[name].split("{month}")
+        glob = f"{raw}/{before}{year}??{after}"
+        reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+        try:
+            files = reader.load(glob).filter("length > 0").select("path")
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+            found[name] = set()
+            continue
+        month = F.regexp_extract("path", f"{re.escape(before)}({year}\\d\\d){re.escape(after)}", 1)
+        found[name] = {r[0] for r in files.select(month).distinct().collect()}
+    return found
+
+
 def _store(
     spark: SparkSession,
     inputs: Mapping[str, DataFrame],
@@ -75,15 +116,16 @@ def _store(
     export: str | None,
     station: object,
     rules: Rules,
+    partial: Sequence[str] = (),
 ) -> DataFrame:
     daily = daily_condition_table(merge_inputs(**inputs, station=station), rules)
     # Daily rows, so the raw files are aggregated once for all months.
     computed = materialise(daily, "daily")
-    others = computed.filter(~F.coalesce(F.col("ym").isin(list(months)), F.lit(False)))
+    others = computed.filter(~F.coalesce(F.col("ym").isin([*months, *partial]), F.lit(False)))
     if not others.isEmpty():
         raise ValueError(f"the files hold days of other months, such as {others.first().use_date}; nothing is replaced")
     replace_months(computed, table, months)
-    stored = scan_month(read_month_table(spark, table, DAILY_SCHEMA), months[0], months[-1])
+    stored = read_month_table(spark, table, DAILY_SCHEMA).filter(F.col("ym").isin(list(months)))
     if export:
         write_csv(published_names(stored), export, bom=True, even=True)
     return stored
@@ -97,13 +139,13 @@ def run_month(
     export: str | None = None,
     station: object = fv.CITY_STATION,
     rules: Rules = Rules(),
-    charsets: Mapping[str, str] = fv.INPUT_CHARSETS,
+    charsets: Mapping[str, str] | None = None,
 ) -> DataFrame:
     """Compute the month, replace it in the table, and return the stored rows.
 
     Running a month again gives the same table; a month that has become empty is emptied, others
-    stay as they are, and a row of another month fails the run before anything is replaced. The
-    export is made from the stored rows, so the raw files are aggregated once.
+    stay as they are, and a row of another month fails the run before anything is replaced. So does a file
+    in an unknown charset or layout. The export is made from the stored rows, so the raw files are aggregated once.
     """
     inputs = read_inputs(spark, raw, month, charsets)
     return _store(spark, inputs, [month], table, export, station, rules)
@@ -117,14 +159,20 @@ def run_year(
     export: str | None = None,
     station: object = fv.CITY_STATION,
     rules: Rules = Rules(),
-    charsets: Mapping[str, str] = fv.INPUT_CHARSETS,
-    with_dust: bool = False,
+    charsets: Mapping[str, str] | None = None,
+    with_dust: bool = True,
     weather: Literal["monthly", "yearly"] = "monthly",
 ) -> DataFrame:
-    """The same for all monthly files of a year at once, by default without dust.
+    """The same for all monthly files of a year at once; returns the stored rows of the months that were replaced.
 
-    All twelve months are replaced. `weather` says which weather files count where both are there.
+    Replaced are the months for which each input has a file, or with yearly weather each other input. Months that lack one, or all, stay
+    as they are stored. Without dust the means of dust are stored as unknown. `weather` says which weather files
+    count where both are there.
     """
+    names = ["bus", "subway", *(["weather"] if weather == "monthly" else []), *(["dust"] if with_dust else [])]
+    found = months_with_files(spark, raw, year, names)
+    whole, some = set.intersection(*found.values()), set.union(*found.values())
+    if not whole:
+        raise ValueError(f"no month of {year} has files of all of {names} below {raw}")
     inputs = read_inputs(spark, raw, f"{year}??", charsets, with_dust, year if weather == "yearly" else None)
-    months = [f"{year}{m:02d}" for m in range(1, 13)]
-    return _store(spark, inputs, months, table, export, station, rules)
+    return _store(spark, inputs, sorted(whole), table, export, station, rules, sorted(some - whole))

@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions import category_ordinal, classify_day_type, fixed_values as fv
-from ..operators import avg_by_category, daily_usage, to_long
+from ..operators import avg_by_category, daily_usage, moment_mean, moment_sd, moment_sums, to_long
 
 MODES = {"avg_a": "mode_a", "avg_b": "mode_b"}
 
@@ -82,16 +82,18 @@ def report_temp_sensitivity(
     known = F.col("tavg").isNotNull() & F.col("total").isNotNull()
     chosen = days.filter((F.col("day_type") == day_type) & known)
     median = chosen.select(F.percentile("tavg", 0.5)).scalar()
-    spread = F.stddev_samp("total")
     return (
         chosen.withColumn("half", F.when(F.col("tavg") <= median, "low").otherwise("high"))
         .groupBy("half")
-        .agg(
-            F.count("total").alias("n_days"),
-            F.round(F.avg("total"), decimals).alias("mean_total"),
-            F.round(spread, decimals).alias("sd_total"),
-            (F.max("total") - F.min("total")).alias("range_total"),
-            F.round(spread / F.avg("total"), 6).alias("variation"),
+        .agg(*moment_sums("total"), (F.max("total") - F.min("total")).alias("range_total"))
+        .withColumns({"_mean": moment_mean(), "_sd": moment_sd()})
+        .select(
+            "half",
+            F.col("_n").alias("n_days"),
+            F.round("_mean", decimals).alias("mean_total"),
+            F.round("_sd", decimals).alias("sd_total"),
+            "range_total",
+            F.round(F.try_divide("_sd", "_mean"), 6).alias("variation"),
         )
     )
 

@@ -19,8 +19,6 @@ SETTINGS = {
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     "spark.sql.files.maxPartitionBytes": "512m",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
-    # Lets the CSV reader itself decode cp949, so that no line passes through Python.
-    "spark.sql.legacy.javaCharsets": "true",
 }
 
 _local_folder: dict[str, str] = {}

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -31,12 +33,16 @@ def write_month_table(
 def replace_months(df: DataFrame, path: str, months: Sequence[str], key: str = "ym") -> None:
     """Replace exactly the given months of a Parquet table by what `df` has of them.
 
-    A month without rows is emptied, all others stay as they are. `df` is read once for each month:
-    give it daily rows that are written already.
+    Months with rows are written in one dynamic overwrite, which puts all of them in place when the job commits; then
+    months without rows are emptied. All others stay as they are. `df` is read twice: give it
+    daily rows that are written already.
     """
-    for month in months:
-        rows = df.filter(F.col(key) == month).drop(key)
-        rows.hint("rebalance").write.mode("overwrite").parquet(f"{path}/{key}={month}")
+    rows = df.filter(F.col(key).isin(list(months)))
+    present = {r[0] for r in rows.select(key).distinct().collect()}
+    if present:
+        write_month_table(rows, path, key)
+    for month in sorted(set(months) - present):
+        df.filter("false").drop(key).write.mode("overwrite").parquet(f"{path}/{key}={month}")
 
 
 def write_csv(df: DataFrame, path: str, bom: bool = False, even: bool = False) -> None:
@@ -57,11 +63,20 @@ def register_table(
 ) -> DataFrame:
     """Make a stored month table known to the catalog by name, with all its months, and scan it.
 
-    The table is external: dropping it leaves the files.
+    The table is external: dropping it leaves the files. A name that already stands for another folder is refused.
     """
     spark.sql(
         f"CREATE TABLE IF NOT EXISTS {name} ({schema}) USING {fmt} "
         f"PARTITIONED BY (`{key}`) LOCATION '{path}'"
     )
+    described = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").filter("col_name = 'Location'").first()
+    known = described.data_type if described else None
+    if known is None or bare_path(known) != bare_path(path):
+        raise ValueError(f"{name} already stands for {known}, not for {path}: drop it or take another name")
     spark.sql(f"MSCK REPAIR TABLE {name}")
     return spark.table(name)
+
+
+def bare_path(path: str) -> str:
+    """A path to compare: local ones are written with or without a scheme, and with one slash or three."""
+    return unquote(re.sub("^file:/+", "/", path)).rstrip("/")

@@ -150,6 +150,50 @@ def test_box_against_numpy(rows):
     assert (got["h"].q1, got["h"].whisker_lo, got["h"].n_outliers) == (5.0, 5, 0)
 
 
+@pytest.mark.parametrize("kind", ["DOUBLE", "BIGINT", "DECIMAL(20,4)"])
+def test_quantiles_on_any_scale(rows, kind):
+    from decimal import Decimal
+
+    rng = np.random.default_rng(8)
+    values = np.concatenate([rng.lognormal(3, 4, 400), -rng.lognormal(1, 2, 100), [0, 0, 0, 5, 5]])
+    if kind == "BIGINT":
+        values = np.concatenate([values.astype(np.int64), [2**62, 2**62 + 1, -(2**61)]])
+    if kind.startswith("DECIMAL"):
+        values = np.round(values, 4)
+    cast = {"DOUBLE": float, "BIGINT": int}.get(kind, lambda v: Decimal(f"{v:.4f}"))
+    data = [("a", cast(v)) for v in values] + [("b", cast(7))] * 9 + [("c", cast(1)), ("c", cast(2))]
+    counts = rows(f"c STRING, x {kind}", data).groupBy("c", "x").agg(F.count("*").alias("_count"))
+    shares = (0.0, 0.1, 0.25, 0.5, 0.9, 0.999, 1.0)
+    for ranges in (4096, 3):
+        got = {r.c: (r.n, r.q) for r in op.exact_quantiles(counts, ["c"], "x", shares, ranges).collect()}
+        for c in "abc":
+            x = np.array([float(v) for k, v in data if k == c])
+            assert got[c][0] == len(x)
+            assert got[c][1] == pytest.approx(np.quantile(x, shares), rel=1e-12)
+
+
+def test_box_without_values(rows):
+    data = [("a", None), ("b", float("nan")), (None, 1.0), ("c", 1.0), ("c", None), ("c", float("nan"))]
+    got = op.box_stats(rows("c STRING, x DOUBLE", data), ["c"], "x")
+    assert rows.of(got) == [("c", 1, 1.0, 1.0, 1.0, 1.0, 1.0, 0)]
+    assert op.box_stats(rows("c STRING, x DOUBLE", []), ["c"], "x").collect() == []
+
+
+def test_deviation_does_not_depend_on_merging(spark, rows):
+    rng = np.random.default_rng(9)
+    x = np.concatenate([1e9 + rng.normal(0, 1e-3, 3000), rng.normal(0, 1e5, 3000)])
+    df = rows("c INT, x DOUBLE", [(int(i % 3), float(v)) for i, v in enumerate(x)])
+    seen = set()
+    for parts in (1, 7, 200):
+        spark.conf.set("spark.sql.shuffle.partitions", str(parts))
+        got = op.mean_ci(df.repartition(parts), ["c"], "x", decimals=12)
+        seen.add(tuple(rows.of(got)))
+    spark.conf.set("spark.sql.shuffle.partitions", "8")
+    assert len(seen) == 1
+    near = rows("x DOUBLE", [(1e9 + 0.001,), (1e9 + 0.002,), (1e9 + 0.004,)]).agg(*op.moment_sums("x")).select(op.moment_sd())
+    assert near.first()[0] == pytest.approx(statistics.stdev([0.001, 0.002, 0.004]), rel=1e-6)
+
+
 def test_mean_interval(rows):
     data = [3, 5, 8, 13]
     r = op.mean_ci(rows("c STRING, x BIGINT", [("g", v) for v in data] + [("one", 1)]), ["c"], "x")

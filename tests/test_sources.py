@@ -84,7 +84,7 @@ def test_recode_skips_empty_and_broken_files(spark, rows, folder):
     got = dict(rows.of(status.select(name, "status")))
     assert got == {
         "a.csv": "utf-8",
-        "b.csv": "utf-8",
+        "b.csv": "utf-8-sig",
         "c 한글.csv": "cp949",
         "e.csv": "undecodable",
     }
@@ -107,13 +107,99 @@ def test_recoded_files_are_written_as_utf8(spark, rows, folder):
     folder("in/a.csv", TEXT.encode("cp949"))
     folder("in/b.csv", b"\xef\xbb\xbf" + TEXT.encode())
     lines, _ = src.recode_lines(spark, f"{folder.path}/in")
-    src.write_recoded(lines, f"{folder.path}/out")
+    src.write_recoded(lines, f"{folder.path}/out", f"{folder.path}/in/")
     for name in ("a.csv", "b.csv"):
         (part,) = glob.glob(f"{folder.path}/out/file={name}/*.txt")
         with open(part, "rb") as f:
             assert f.read().decode() == "\ufeff" + "".join(f"{line}\n" for line in TEXT.split())
 
 
+def test_charset_of_a_file_holds_for_all_its_lines(spark, rows, folder):
+    # In cp949 these two words are bytes of UTF-8 for other letters.
+    text = "짜,1\n쨩,2\n한글,3\n"
+    folder("in/odd.csv", text.encode("cp949"))
+    folder("in/both.csv", "한글\n".encode() + "한글\n".encode("cp949") + b"\xed\x95\n")
+    lines, status = src.recode_lines(spark, f"{folder.path}/in")
+    assert sorted(r.line for r in lines.collect()) == sorted(text.split())
+    assert sorted(r.status for r in status.collect()) == ["cp949", "undecodable"]
+
+
+WIDE = {"utf-16-le": "utf-16-le", "utf-16-be": "utf-16-be", "bom-le": "utf-16-le", "bom-be": "utf-16-be"}
+
+
+def test_charsets_of_two_bytes_are_found_and_decoded(spark, rows, folder):
+    text = "날짜,값\r\n2025,한글 1\r\n2026,\ub00a\r\n2027,x\r\n"
+    for name, charset in WIDE.items():
+        folder(f"in/{name}", (text if name.startswith("utf") else "\ufeff" + text).encode(charset))
+    folder("in/sig", b"\xef\xbb\xbf" + text.encode())
+    folder("in/sig-open", b"\xef\xbb\xbf" + text.strip().encode())
+    folder("in/plain", text.encode())
+    folder("in/torn", ("\ufeff" + text).encode("utf-16-le") + b"\x00\xd8")
+    lines, status = src.recode_lines(spark, f"{folder.path}/in")
+    name = F.element_at(F.split("file", "/"), -1)
+    want = WIDE | {"sig": "utf-8-sig", "sig-open": "utf-8-sig", "plain": "utf-8", "torn": "undecodable"}
+    assert dict(rows.of(status.select(name, "status"))) == want
+    got = {}
+    for r in lines.select(name.alias("name"), "line", "block", "at").orderBy("block", "at").collect():
+        got.setdefault(r.name, []).append(r.line)
+    assert got == {n: text.split("\r\n")[:-1] for n in want if n != "torn"}
+
+
+def test_the_first_charset_that_decodes_all_lines(spark, rows, folder):
+    folder("in/a", "ｱｲｳ\n".encode("shift_jis") + b"x\n")
+    folder("in/b", TEXT.encode("cp949"))
+    status = src.file_status(spark, f"{folder.path}/in", ["cp949", "shift_jis", "latin-1"])
+    name = F.element_at(F.split("file", "/"), -1)
+    assert dict(rows.of(status.select(name, "status"))) == {"a": "shift_jis", "b": "cp949"}
+
+
+def test_files_of_one_name_stay_apart(spark, rows, folder):
+    import glob
+
+    for top, word in (("a", "하나"), ("b", "둘")):
+        folder(f"in/{top}/f.csv", f"{word}\n".encode("cp949") * 3)
+    lines, _ = src.recode_lines(spark, f"{folder.path}/in")
+    src.write_recoded(lines, f"{folder.path}/out", f"file://{folder.path}/in")
+    back = spark.read.text(f"{folder.path}/out").select("file", "value")
+    assert rows.of(back.distinct()) == [("a/f.csv", "하나"), ("b/f.csv", "둘")]
+    assert back.count() == 6 and len(glob.glob(f"{folder.path}/out/file=*")) == 2
+
+
+BAD = "k,n\n1,10\nk,n\n2,x\n3\n4,6,7\n\n5,50\n"
+
+
+@pytest.mark.parametrize("charset", ["utf-8", "cp949", "utf-16-le"])
+@pytest.mark.parametrize("java", ["true", "false"])
+def test_malformed_rows_stay_visible(spark, rows, folder, charset, java):
+    path = folder("in/a.csv", BAD.encode(charset))
+    folder("in/b.csv", "k,n\n6,60\n".encode(charset))
+    schema = rows("k INT, n INT", []).schema
+    spark.conf.set("spark.sql.legacy.javaCharsets", java)
+    try:
+        df = src.read_csv(spark, path.rsplit("/", 1)[0], schema, charset=charset, corrupt="_line")
+        want = [(1, 10, None), (2, None, "2,x"), (3, None, "3"), (4, 6, "4,6,7"), (5, 50, None), (6, 60, None), (None, None, "k,n")]
+        assert rows.of(df) == sorted(want, key=str)
+        sound = src.keep_sound(df, "_line", f"{folder.path}/bad")
+        assert rows.of(sound) == [(1, 10), (5, 50), (6, 60)]
+        assert sorted(r._line for r in spark.read.parquet(f"{folder.path}/bad").collect()) == ["2,x", "3", "4,6,7", "k,n"]
+        bare = src.read_csv(spark, path, charset=charset)
+        assert bare.columns[1] == "n" and bare.count() == 6
+    finally:
+        spark.conf.unset("spark.sql.legacy.javaCharsets")
+
+
+def test_header_of_a_file_in_parts_is_dropped_once(spark, rows, folder):
+    text = "k,n\n" + "".join(f"{i},가\n" for i in range(50_000)) + "k,n\n"
+    path = folder("big.csv", text.encode("cp949"))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "64k")
+    try:
+        df = src.read_csv(spark, path, rows("k STRING, n STRING", []).schema, charset="cp949")
+        assert df.rdd.getNumPartitions() > 3
+        assert df.count() == 50_001 and df.filter("k = 'k'").count() == 1
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
 def test_expected_files_without_lines_are_skipped(spark, rows, folder):
     folder("in/a.csv", TEXT.encode())
     folder("in/empty.csv", b"")
@@ -198,3 +284,26 @@ def test_pages(spark, rows):
         ("d3", "INFO-200", None),
         ("d4", "INFO-200", None),
     ]
+
+
+@pytest.mark.parametrize("stretch", [100_000, 2])
+def test_gaps_and_overlaps_of_pages(spark, rows, stretch):
+    sent = [
+        ("overlap", 1, 4, 2), ("overlap", 2, 4, 2),
+        ("whole", 1, 5, 2), ("whole", 3, 5, 3), ("whole", 3, 5, 3), ("whole", 3, 5, 1),
+        ("doubled", 1, 5, 3), ("doubled", 2, 5, 4),
+        ("inside", 1, 9, 9), ("inside", 2, 9, 1), ("inside", 5, 9, 2),
+        ("gap", 1, 9, 2), ("gap", 6, 9, 2), ("beyond", 1, 3, 5), ("none", 1, 0, 0), ("empty", 1, 7, 0),
+        (None, 1, 2, 2),
+    ]
+    pages = rows("day STRING, start INT, body STRING", [(d, s, page(t, s, n)) for d, s, t, n in sent] + [("failed", 1, FAILURE), ("whole", 1, FAILURE), ("whole", None, FAILURE)])
+    got = rows.of(src.page_intervals(pages, "svc", ["day"], "start", stretch=stretch))
+    assert got == sorted(
+        [
+            ("overlap", 4, 4, 1, 1, 0, "incomplete"), ("whole", 5, 5, 0, 0, 0, "complete"), ("doubled", 5, 7, 0, 2, 0, "doubled"),
+            ("inside", 9, 12, 0, 3, 0, "doubled"), ("gap", 9, 4, 5, 0, 0, "incomplete"), ("beyond", 3, 5, 0, 0, 2, "incomplete"),
+            ("none", 0, 0, 0, 0, 0, "complete"), ("empty", 7, 0, 7, 0, 0, "incomplete"), ("failed", None, 0, None, 0, None, "incomplete"),
+            (None, 2, 2, 0, 0, 0, "complete"),
+        ],
+        key=str,
+    )

@@ -51,6 +51,11 @@ def test_table_by_name(spark, rows, tmp_path):
     sinks.write_month_table(rows(TABLE, [(2, 20, "202502")]), path)
     again = sinks.register_table(spark, path, "stored_days", TABLE)
     assert rows.of(again) == [(1, 10, "202501"), (2, 20, "202502")]
+    other = str(tmp_path / "other")
+    sinks.write_month_table(rows(TABLE, [(9, 90, "202501")]), other)
+    with pytest.raises(ValueError, match="already stands for"):
+        sinks.register_table(spark, other, "stored_days", TABLE)
+    assert rows.of(sinks.register_table(spark, f"file://{path}/", "stored_days", TABLE)) == rows.of(again)
     spark.sql("drop table stored_days")
     assert read(spark, path).count() == 2
 
@@ -139,12 +144,12 @@ def test_second_month_is_added(spark, tmp_path):
 def test_year_is_its_months(spark, rows, tmp_path):
     raw_month(tmp_path, "202501")
     raw_month(tmp_path, "202502")
-    year = plans.run_year(spark, str(tmp_path), "2025", str(tmp_path / "a"), with_dust=True)
+    year = plans.run_year(spark, str(tmp_path), "2025", str(tmp_path / "a"))
     for month in ("202501", "202502"):
         plans.run_month(spark, str(tmp_path), month, str(tmp_path / "b"))
     months = src.read_month_table(spark, str(tmp_path / "b"), plans.DAILY_SCHEMA)
     assert rows.of(year) == rows.of(months)
-    bare = plans.run_year(spark, str(tmp_path), "2025", str(tmp_path / "c"), str(tmp_path / "d"))
+    bare = plans.run_year(spark, str(tmp_path), "2025", str(tmp_path / "c"), str(tmp_path / "d"), with_dust=False)
     assert rows.of(bare.select("avg_pm", "dust_grade").distinct()) == [(None, "unknown")]
     assert rows.of(bare.drop("avg_pm", "dust_grade")) == rows.of(year.drop("avg_pm", "dust_grade"))
     assert src.read_csv(spark, str(tmp_path / "d")).count() == 6
@@ -174,6 +179,57 @@ def test_run_leaves_the_neighbour_and_empties_its_own(spark, rows, tmp_path):
     assert counts() == {"202502": 3}
 
 
+def files_of(folder, month, *names):
+    return [folder / fv.INPUT_FILES[name].format(month=month) for name in names]
+
+
+def test_year_keeps_months_that_lack_a_file(spark, rows, tmp_path):
+    table = str(tmp_path / "table")
+    for month in ("202501", "202502", "202503"):
+        raw_month(tmp_path, month)
+        plans.run_month(spark, str(tmp_path), month, table)
+    before = rows.of(src.read_month_table(spark, table, plans.DAILY_SCHEMA))
+    # February lacks a file, March has an empty one; January is computed again.
+    (late,) = files_of(tmp_path, "202502", "dust")
+    late.unlink()
+    (empty,) = files_of(tmp_path, "202503", "bus")
+    empty.write_bytes(b"")
+    stored = plans.run_year(spark, str(tmp_path), "2025", table)
+    assert {r.ym for r in stored.collect()} == {"202501"}
+    assert rows.of(src.read_month_table(spark, table, plans.DAILY_SCHEMA)) == before
+    with pytest.raises(ValueError, match="no month of 2024"):
+        plans.run_year(spark, str(tmp_path), "2024", table)
+
+
+def test_charset_is_found_for_each_file_of_a_year(spark, rows, tmp_path):
+    for month in ("202501", "202502", "202503"):
+        raw_month(tmp_path, month)
+    want = rows.of(plans.run_year(spark, str(tmp_path), "2025", str(tmp_path / "a")))
+    for month, charset in (("202501", "utf-8"), ("202502", "utf-8-sig"), ("202503", "utf-16")):
+        for path in files_of(tmp_path, month, "bus", "subway", "weather", "dust"):
+            try:
+                text = path.read_bytes().decode()
+            except UnicodeDecodeError:
+                text = path.read_bytes().decode("cp949")
+            path.write_bytes(text.encode(charset))
+    assert rows.of(plans.run_year(spark, str(tmp_path), "2025", str(tmp_path / "b"))) == want
+
+
+@pytest.mark.parametrize("content", [b"when,who\n1,2\n", b"TM,STN\n\xff\xff\n"])
+def test_unknown_files_fail_before_anything_is_replaced(spark, rows, tmp_path, content):
+    raw_month(tmp_path, "202501")
+    table = str(tmp_path / "table")
+    before = rows.of(plans.run_month(spark, str(tmp_path), "202501", table))
+    raw_month(tmp_path, "202502")
+    (weather,) = files_of(tmp_path, "202502", "weather")
+    weather.write_bytes(content)
+    with pytest.raises(plans.UnknownLayout, match="weather_data_202502"):
+        plans.run_year(spark, str(tmp_path), "2025", table)
+    with pytest.raises(plans.UnknownLayout):
+        plans.run_month(spark, str(tmp_path), "202502", table)
+    assert rows.of(src.read_month_table(spark, table, plans.DAILY_SCHEMA)) == before
+
+
 def test_year_takes_one_of_two_weather_files(spark, rows, tmp_path):
     raw_month(tmp_path, "202501")
     month, year = (tmp_path / fv.INPUT_FILES["weather"].format(month=m) for m in ("202501", "2025"))
@@ -206,7 +262,7 @@ class Landing:
         stamp = time.time() + 10 * self.n_files
         os.utime(file, (stamp, stamp))
 
-    def take_in(self, checkpoint="checkpoint", files_per_batch=None):
+    def take_in(self, checkpoint="checkpoint", files_per_batch=None, key=()):
         ingest_incremental(
             self.spark,
             f"{self.path}/landing",
@@ -216,6 +272,7 @@ class Landing:
             f"{self.path}/quarantine",
             f"{self.path}/{checkpoint}",
             files_per_batch,
+            key,
         )
         return self.stored("table")
 
@@ -264,10 +321,29 @@ def test_rows_without_a_day_are_kept_apart(landing, spark):
     assert sorted((r.id, r._arrival.file[-7:]) for r in lost) == [(2, "001.csv"), (3, "002.csv")]
 
 
+def test_later_line_of_a_file_counts(landing, spark):
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "16k")
+    try:
+        early = [f"{i},{i},2025-01-01" for i in range(3000)]
+        landing.deliver(*early, *[f"{i},{i + 1},2025-01-01" for i in range(3000)], *[f"{i},{i + 2},2025-01-01" for i in range(3000)])
+        want = [(i, i + 2, 1) for i in range(3000)]
+        assert landing.take_in() == want
+        assert landing.take_in("fresh") == want
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_rows_without_a_key_are_kept_apart(landing, spark):
+    landing.deliver("1,10,2025-01-01", ",20,2025-01-01", ",30,2025-01-02", ",40,")
+    assert landing.take_in(key=["id"]) == [(1, 10, 1)]
+    lost = spark.read.schema(f"{INGESTED}, _reason STRING").parquet(f"{landing.path}/quarantine").collect()
+    assert sorted((r.n, r._reason) for r in lost) == [(20, "no key"), (30, "no key"), (40, "no day")]
+
+
 def test_batch_written_again_replaces_itself(spark, rows, tmp_path):
     def batch(n):
-        arrival = "_arrival STRUCT<time: TIMESTAMP, file: STRING>"
-        stamp = (datetime.datetime(2025, 1, 1), "f")
+        arrival = "_arrival STRUCT<time: TIMESTAMP, file: STRING, block: BIGINT, at: BIGINT>"
+        stamp = (datetime.datetime(2025, 1, 1), "f", 0, 0)
         return rows(f"{INGESTED}, {arrival}", [(1, n, datetime.date(2025, 1, 1), "202501", stamp), (2, n, None, None, stamp)])
 
     for n in (1, 2):
