@@ -1,6 +1,7 @@
 """Nulls, empty and long texts, ties, repeated rows, empty tables and clashing names; and parts tested alone."""
 
 import random
+import re
 
 import numpy as np
 import public_tokenizers
@@ -246,6 +247,67 @@ def test_repeated_spans(spark, docs, none):
     assert spans.remove_repeats(none).count() == 0
 
 
+def test_spans_against_all_pairs(spark):
+    """Every run of pieces that is a span, compared with every other by its words."""
+    draws = random.Random(11)
+    pool = [" ".join(f"w{draws.randrange(10**6)}" for _ in range(draws.randint(1, 14))) + draws.choice((".", "!", "?\"", "\n", "")) for _ in range(12)]
+    texts = [" ".join(draws.choice(pool) for _ in range(draws.randint(0, 14))) for _ in range(80)] + ["漢字。" * 9, "漢字。" * 12, None, "", " \n"]
+    rows = [(draws.choice((None, 1, 2, 3, *range(10, 60))), t) for t in texts]
+    rows = list({r: None for r in rows})
+    found = []
+    for name, text in rows:
+        bounds = spans.sentences(text) if text else []
+        words = [re.findall(spans._WORD, text[a:b]) for a, b in bounds]
+        n, size = len(words), [len(w) for w in words]
+        runs = set()
+        for at in range(n):
+            fits = [end for end in range(at + 1, n + 1) if sum(size[at:end]) >= 20 and (end - at >= 2 or size[at] >= 20)]
+            runs |= {(at, min(fits))} if fits else set()
+            fits = [begin for begin in range(at + 1) if sum(size[begin : at + 1]) >= 20 and (at + 1 - begin >= 2 or size[at] >= 20)]
+            runs |= {(max(fits), at + 1)} if fits else set()
+        if not runs and sum(size):
+            runs = {(0, n)}
+        found.append((bounds, {(a, b, tuple(w for piece in words[a:b] for w in piece)) for a, b in runs}))
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    hashes = {(r.doc_id, r.text): r.h for r in table.select("doc_id", "text", F.xxhash64("text").alias("h")).collect()}
+    order = sorted(range(len(rows)), key=lambda i: (rows[i][0] is not None, rows[i][0] or 0, hashes[rows[i]]))
+    want = []
+    for rank, i in enumerate(order):
+        bounds, mine = found[i]
+        gone = set()
+        for a, b, run in mine:
+            earlier = any(run == other for j in order[:rank] for _, _, other in found[j][1])
+            if earlier or any(run == other and c < a for c, _, other in mine):
+                gone |= set(range(a, b))
+        kept = "".join(rows[i][1][x:y] for k, (x, y) in enumerate(bounds) if k not in gone) if rows[i][1] is not None else None
+        want.append((rows[i][0], kept, len(bounds), len(gone), bool(gone)))
+    got = [tuple(r) for r in spans.remove_repeats(table).collect()]
+    assert sorted(got, key=str) == sorted(want, key=str)
+    assert sum(r[4] for r in got) > 20
+
+
+def test_texts_that_share_an_id(spark):
+    draws = random.Random(12)
+
+    def sentence(n):
+        return " ".join(f"w{draws.randrange(10**9)}" for _ in range(n)) + "."
+
+    shared, own, other, whole = (" ".join(sentence(11) for _ in range(k)) for k in (4, 6, 10, 5))
+    for name in (9, None):
+        rows = [(-5 if name else None, shared), (name, f"{own} {shared}"), (name, other), (name, whole), (name, whole), (name, None), (name, None), (name, "")]
+        rows += [(12, whole), (7, "a b"), (7, "a b"), (7, "a b")]
+        got = spans.remove_repeats(spark.createDataFrame([(*r, "x") for r in rows], "doc_id long, text string, text_hash string"))
+        texts = sorted(((r.doc_id, r.text) for r in got.collect() if r.doc_id is not None), key=str)
+        mine = sorted(str(r.text) for r in got.collect() if r.doc_id == name)
+        assert got.count() == len(rows) and (12, "") in texts and [t for i, t in texts if i == 7] == ["", "", "a b"]
+        if name:
+            assert sorted(mine) == sorted([f"{own} ", other, whole, "", "", "None", "None"])
+        else:
+            # The hash decides which of two texts without an id comes first.
+            assert other in mine and mine.count(whole) == 1 and mine.count("None") == 2
+            assert (shared in mine) != (f"{own} {shared}" in mine)
+
+
 def test_copies_end_up_empty(spark):
     draws = random.Random(3)
 
