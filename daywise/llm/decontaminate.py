@@ -16,30 +16,24 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from ..session import materialise
+from .substring_dedup import _UNSPACED as UNSPACED
 
-# 1: the word counts; 0: any word fits. All begin and end in 1.
-MASKS = ("1101011011", "1011100111", "1110010111")
+# 1: the word counts; 0: any word fits. All begin and end in 1. Wherever two of ten words differ, one of these fits
+# somewhere among the others.
+MASKS = ("111011", "11010011", "11111")
 SIMILARITY = 0.8
-# Words that an overlap must have.
+# Words that an overlap must have; an item of fewer must be there whole.
 LEAST_WORDS = 10
 # Bits of the table that tells which hashes a benchmark may have; 4 MB, whatever its size.
 FILTER_BITS = 25
-# Words kept on both sides of a hit for the comparison.
-REACH = 256
-WORDS = re.compile(r"\w+")
-# Words whose hashes a worker remembers.
-_REMEMBERED = 200_000
-_known: dict[str, int] = {}
+# Characters of scripts without white space are words of their own.
+WORDS = re.compile(rf"[{UNSPACED}]|[^\W{UNSPACED}]+")
 
 
 def word_hashes(text: str) -> np.ndarray:
     """64-bit hashes of a text's words: runs of letters, digits and underscores, lower-cased."""
     words = WORDS.findall(text.lower())
-    if len(_known) > _REMEMBERED:
-        _known.clear()
-    for word in set(words).difference(_known):
-        _known[word] = xxhash.xxh3_64_intdigest(word)
-    return np.fromiter(map(_known.__getitem__, words), np.uint64, len(words))
+    return np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
 
 
 def seed_hashes(words: np.ndarray, mask: str) -> np.ndarray:
@@ -71,7 +65,7 @@ def _seen(filter_bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
 
 
 def benchmark_words(benchmark: DataFrame, item_id: str, text: str) -> DataFrame:
-    """item_id, words (array of hashes) of each item; items of too few words are left out."""
+    """item_id, words (array of hashes) of each item that has a word."""
 
     def hashed(batches):
         for batch in batches:
@@ -80,16 +74,18 @@ def benchmark_words(benchmark: DataFrame, item_id: str, text: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column("item_id"), pa.array(words, kind)], ["item_id", "words"])
 
     rows = benchmark.select(F.col(item_id).cast("long").alias("item_id"), F.col(text).alias("text"))
-    return rows.mapInArrow(hashed, "item_id long, words array<bigint>").filter(F.size("words") >= LEAST_WORDS)
+    return rows.mapInArrow(hashed, "item_id long, words array<bigint>").filter(F.size("words") > 0)
 
 
-def _benchmark_seeds(items: DataFrame, masks: tuple[str, ...]) -> DataFrame:
+def _benchmark_seeds(items: DataFrame, masks: tuple[str, ...], least_words: int) -> DataFrame:
+    """(item_id, item_at, seed): of short items all words at once, of others the windows under each mask."""
+
     def seeds(batches):
         for batch in batches:
             ids, at, found = [], [], []
             for item, words in zip(batch.column("item_id"), batch.column("words")):
                 row = np.array(words.values, np.int64).view(np.uint64)
-                for mask in masks:
+                for mask in masks if len(row) >= least_words else ("1" * len(row),):
                     hashes = seed_hashes(row, mask)
                     ids.extend([item.as_py()] * len(hashes))
                     at.extend(range(len(hashes)))
@@ -112,14 +108,17 @@ def _filter_of(seeds: DataFrame) -> np.ndarray:
             yield pa.RecordBatch.from_arrays(columns, ["at", "bits"])
 
     bitmap = np.zeros(1 << (FILTER_BITS - 3), np.uint8)
-    merged = seeds.select("seed").mapInArrow(slots, "at int, bits int").groupBy("at").agg(F.bit_or("bits"))
-    for at, bits in merged.collect():
-        bitmap[at] = bits
+    merged = seeds.select("seed").mapInArrow(slots, "at int, bits int").groupBy("at").agg(F.bit_or("bits").alias("bits"))
+    found = merged.toArrow()
+    bitmap[found["at"].to_numpy()] = found["bits"].to_numpy()
     return bitmap
 
 
-def _stretches(docs: DataFrame, doc_id: str, text: str, bitmap, masks: tuple[str, ...]) -> DataFrame:
-    """Stretches of documents with hits: their words, and each hit's seed and place in the stretch."""
+def _stretches(docs: DataFrame, doc_id: str, text: str, bitmap, masks: tuple[str, ...], reach: int) -> DataFrame:
+    """Stretches of documents with hits: their words, and each hit's seed and place in the stretch.
+
+    `reach` words are kept on both sides of a hit: as many as the longest item has.
+    """
     span = max(map(len, masks))
 
     def scan(batches):
@@ -138,9 +137,9 @@ def _stretches(docs: DataFrame, doc_id: str, text: str, bitmap, masks: tuple[str
                     continue
                 order = np.argsort(at, kind="stable")
                 at, found = at[order], found[order]
-                for few in np.split(np.arange(len(at)), np.flatnonzero(np.diff(at) > REACH) + 1):
-                    first = max(0, int(at[few[0]]) - REACH)
-                    part = words[first : int(at[few[-1]]) + span + REACH]
+                for few in np.split(np.arange(len(at)), np.flatnonzero(np.diff(at) > reach) + 1):
+                    first = max(0, int(at[few[0]]) - reach)
+                    part = words[first : int(at[few[-1]]) + span + reach]
                     row = (name.as_py(), first, part.view(np.int64), (at[few] - first).astype(np.int32), found[few].view(np.int64))
                     for column, value in zip(out, row):
                         column.append(value)
@@ -175,10 +174,13 @@ def _compare(similarity: float, least_words: int):
                 words = np.array(columns["words"][i].values, np.int64)
                 item = np.array(columns["item_words"][i].values, np.int64)
                 shift = columns["shift"][i].as_py()
-                a, b = max(0, shift), min(len(words), shift + len(item))
-                length, equal, start = best(words[a:b] == item[a - shift : b - shift])
-                if length >= least_words:
-                    begin = columns["first"][i].as_py() + a + start
+                # `words` are those beside the item, from the first of the stretch on.
+                at = max(0, -shift)
+                m = min(len(words), len(item) - at)
+                length, equal, start = best(words[:m] == item[at : at + m])
+                short = len(item) < least_words
+                if equal == len(item) if short else length >= least_words:
+                    begin = columns["first"][i].as_py() + max(0, shift) + start
                     rows.append((columns["doc_id"][i].as_py(), columns["item_id"][i].as_py(), length, equal, begin))
             out = list(zip(*rows)) if rows else [()] * 5
             names = ["doc_id", "item_id", "overlap_words", "equal_words", "first_word"]
@@ -196,25 +198,33 @@ def contaminated(
 
     An overlap is a stretch of `least_words` words or more, side by side in both, of which a share
     of `similarity` is equal; the longest counts. Found are those that agree with a seed somewhere:
-    always where ten words in a row are equal, and where the words that differ fall on gaps of a
-    mask. Documents are read whole and once. Tasks pass on windows whose hash may be a
-    benchmark's by a bitmap of fixed size; an exact join decides. Null and empty texts, and items
-    of under `least_words` words, match nothing. Repeated documents and items give one row for each pair of
-    ids; a document without an id is reported as null, an item without one is not used.
+    all of ten words, nearly all of more (any stretch of ten words with two or fewer that differ has a seed). An item of under `least_words` words
+    overlaps where all of its words stand in a row, even if it is one word: filter by `overlap_words` where
+    that says too little. Documents are read whole and once. Tasks pass on windows whose hash may be a
+    benchmark's by a bitmap of fixed size; an exact join decides, and beside an item come only the words that it
+    can cover. Null and empty texts, and items without a word, match nothing. Repeated documents and items give one row for each pair of
+    ids; a document without an id is reported as null, an item without one is not used. Other columns are not looked at.
     """
     spark = docs.sparkSession
     items = materialise(benchmark_words(benchmark, item_id, item_text), "items")
-    seeds = materialise(_benchmark_seeds(items, masks), "seeds")
+    lengths = F.array_sort(F.collect_set(F.when(F.size("words") < least_words, F.size("words"))))
+    longest, short = items.agg(F.max(F.size("words")), lengths).first()
+    seeds = materialise(_benchmark_seeds(items, masks, least_words), "seeds")
     bitmap = spark.sparkContext.broadcast(_filter_of(seeds))
-    stretches = _stretches(docs, doc_id, text, bitmap, masks)
+    windows = tuple(dict.fromkeys([*masks, *("1" * n for n in short)]))
+    stretches = _stretches(docs, doc_id, text, bitmap, windows, longest or 0)
     stretches = stretches.withColumn("stretch", F.xxhash64("doc_id", "first", "words"))
     stretches = materialise(stretches, "stretches")
     hits = stretches.select("stretch", F.explode(F.arrays_zip("at", "seeds")).alias("hit"))
     hits = hits.select("stretch", F.col("hit.at").alias("at"), F.col("hit.seeds").alias("seed"))
     met = hits.join(seeds, "seed").select("stretch", "item_id", (F.col("at") - F.col("item_at")).alias("shift")).distinct()
-    laid = met.join(stretches.select("stretch", "doc_id", "first", "words").dropDuplicates(["stretch"]), "stretch")
-    laid = laid.join(items.withColumnRenamed("words", "item_words").dropDuplicates(["item_id", "item_words"]), "item_id")
-    kept = laid.select("doc_id", "first", "words", "item_id", "item_words", "shift")
+    sized = items.withColumnRenamed("words", "item_words").dropDuplicates(["item_id", "item_words"])
+    met = met.join(sized.select("item_id", F.size("item_words").alias("n")).groupBy("item_id").agg(F.max("n").alias("n")), "item_id")
+    begin = F.greatest("shift", F.lit(0))
+    beside = F.slice("words", begin + 1, F.greatest(F.col("shift") + F.col("n") - begin, F.lit(0)))
+    whole = stretches.select("stretch", "doc_id", "first", "words").dropDuplicates(["stretch"])
+    laid = met.join(whole, "stretch").select("doc_id", "first", "item_id", "shift", beside.alias("words"))
+    kept = laid.join(sized, "item_id").select("doc_id", "first", "words", "item_id", "item_words", "shift")
     schema = "doc_id long, item_id long, overlap_words long, equal_words long, first_word long"
     found = kept.mapInArrow(_compare(similarity, least_words), schema)
     longest = F.max(F.struct("overlap_words", "equal_words", (-F.col("first_word")).alias("back"))).alias("best")

@@ -21,6 +21,8 @@ BUCKETS = 1 << 15
 SAMPLE = 3000
 MIN_LEAD = 0.02
 UNKNOWN = "und"
+# Loss of a codeword whose classifiers say 0.
+CHANCE = float(np.log(2))
 # Characters whose n-grams are hashed at once; longer texts are added up piece by piece.
 PIECE = 1 << 18
 _ODD = np.uint32(0x9E3779B1), np.uint32(0x85EBCA77), np.uint32(0xC2B2AE3D)
@@ -117,18 +119,22 @@ class LanguageModel:
         n = counts.sum()
         return (total / max(n, 1) - self.middle) / self.half
 
-    def predict(self, text: str | None) -> tuple[str, float, bool]:
-        """Language, score from 0 to 1, ambiguous. Texts without a letter are `und` with score 0."""
+    def predict(self, text: str | None) -> tuple[str, float, bool, float]:
+        """Language, score from 0 to 1, ambiguous, loss. Texts without a letter are `und` with score 0.
+
+        The score is shared among all languages, so it is less where there are more. The loss is that of the language's own codeword, and
+        does not depend on their number: near 0 where all classifiers agree with it, `CHANCE` where they say nothing.
+        """
         if not self.languages or not has_letter(text):
-            return UNKNOWN, 0.0, True
+            return UNKNOWN, 0.0, True, CHANCE
         if len(self.languages) == 1:
-            return self.languages[0], 1.0, False
+            return self.languages[0], 1.0, False, 0.0
         losses = np.logaddexp(0, -4 * self.code * self.margins(text)) @ self.trust
         order = np.argsort(losses, kind="stable")
         chances = np.exp(-2 * (losses - losses[order[0]]))
         chances /= chances.sum()
         lead = float(losses[order[1]] - losses[order[0]])
-        return self.languages[order[0]], float(chances[order[0]]), lead < self.min_lead
+        return self.languages[order[0]], float(chances[order[0]]), lead < self.min_lead, float(losses[order[0]])
 
 
 def train(
@@ -170,14 +176,14 @@ def train(
 
 
 def language(model: LanguageModel, text: Column) -> Column:
-    """struct<lang, score, ambiguous> of a text column, null texts included."""
+    """struct<lang, score, ambiguous, loss> of a text column, null texts included."""
 
-    @F.arrow_udf("lang string, score double, ambiguous boolean")
+    @F.arrow_udf("lang string, score double, ambiguous boolean, loss double")
     def of(texts: pa.Array) -> pa.Array:
         found = [model.predict(x.as_py()) for x in texts]
-        columns = list(zip(*found)) if found else [(), (), ()]
-        kinds = [pa.string(), pa.float64(), pa.bool_()]
-        return pa.StructArray.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], ["lang", "score", "ambiguous"])
+        columns = list(zip(*found)) if found else [(), (), (), ()]
+        kinds = [pa.string(), pa.float64(), pa.bool_(), pa.float64()]
+        return pa.StructArray.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], ["lang", "score", "ambiguous", "loss"])
 
     return of(text)
 
@@ -188,7 +194,10 @@ def held_out(doc_id: str = "doc_id") -> Column:
 
 
 def identify(docs: DataFrame, model: LanguageModel, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, held_out, lang_pred, score, ambiguous of every row, in one pass without a shuffle."""
+    """doc_id, held_out, lang_pred, score, ambiguous of every row, in one pass without a shuffle.
+
+    A null text, or one without a letter, is `und`; repeated rows get a row each; an empty table gives no rows.
+    """
     rows = docs.select(F.col(doc_id).alias("doc_id"), held_out(doc_id).alias("held_out"), language(model, F.col(text)).alias("found"))
     return rows.select(
         "doc_id", "held_out", F.col("found.lang").alias("lang_pred"), F.col("found.score").alias("score"),

@@ -7,7 +7,7 @@ compact region of all dimensions at once, so files can be skipped by any of them
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -20,19 +20,23 @@ SHARDS = 8
 ACCURACY = 10_000
 
 
-def text_ordinal(value: Column) -> Column:
-    """A number that orders texts as their first six bytes do."""
-    start = F.rpad(F.hex(F.substring(F.encode(value, "utf-8"), 1, 6)), 12, "0")
-    return F.conv(start, 16, 10).cast("double")
-
-
 def default_dimensions(text: str = "text", lang: str = "lang", source: str = "source") -> dict[str, Column]:
     """Source and language by name, and the text's length in bytes."""
-    return {
-        "source": text_ordinal(F.col(source)),
-        "lang": text_ordinal(F.col(lang)),
-        "bytes": F.octet_length(F.col(text)).cast("double"),
-    }
+    return {"source": F.col(source), "lang": F.col(lang), "bytes": F.octet_length(F.col(text)).cast("double")}
+
+
+def with_ordinals(rows: DataFrame, names: Sequence[str]) -> DataFrame:
+    """The same rows with each text column replaced by the rank of its value among all distinct ones; null stays null.
+
+    Whole values are compared, in code point order. Distinct values are found before they are sorted, and are joined back; adaptive
+    execution splits a value that most rows have.
+    """
+    for name in names:
+        values = materialise(rows.select(F.col(name).alias("_value")).dropna().distinct(), "values")
+        ranks = with_rank(values, ["_value"], "_ordinal")
+        joined = rows.join(ranks, F.col(name) == F.col("_value"), "left")
+        rows = joined.withColumn(name, F.col("_ordinal").cast("double")).drop("_value", "_ordinal")
+    return rows
 
 
 def hilbert_index(axes: Column, n: int, bits: int) -> Column:
@@ -96,22 +100,29 @@ def shard(
 
     Rows are ordered by curve index, then text checksum, size and id; shards are runs of this order whose
     counts are at most one apart, and `slot` counts from 0 in each. Copies that agree in metadata
-    are next to each other. `size` is UTF-8 bytes plus 1; null texts have none. Null metadata sorts
+    are next to each other. `dimensions` are columns of numbers or texts; texts go by the rank of their whole value. `size` is UTF-8 bytes plus 1; null texts have none. Null metadata sorts
     first. Repeated rows have slots of their own; an empty table gives no rows. The texts are read,
     but only narrow rows are shuffled; the order ends in the id, so no value is too hot to split.
     """
     dimensions = dimensions or default_dimensions(text)
-    axes = quantised(docs, dimensions, bits)
-    cell = F.array(*[axes[k].cast("int") for k in dimensions])
     whole = F.coalesce(F.col(text), F.lit(""))
-    narrow = docs.select(
-        F.col(doc_id).alias("doc_id"),
-        (F.octet_length(whole) + 1).cast("long").alias("size"),
-        F.crc32(F.encode(whole, "utf-8")).alias("text_crc32"),
-        hilbert_index(cell, len(dimensions), bits).alias("hilbert"),
+    names = [f"_axis{i}" for i in range(len(dimensions))]
+    # Written once: texts are not read and hashed again.
+    narrow = materialise(
+        docs.select(
+            F.col(doc_id).alias("doc_id"),
+            (F.octet_length(whole) + 1).cast("long").alias("size"),
+            F.crc32(F.encode(whole, "utf-8")).alias("text_crc32"),
+            *[column.alias(name) for name, column in zip(names, dimensions.values())],
+        ),
+        "rows",
     )
-    # The order is sampled before it is sorted: written once, texts are not read and hashed again.
-    ranked = with_rank(materialise(narrow, "cells"), ["hilbert", "text_crc32", "size", "doc_id"], "rank")
+    narrow = with_ordinals(narrow, [f.name for f in narrow.schema if f.name in names and f.dataType.typeName() == "string"])
+    narrow = materialise(narrow, "axes")
+    axes = quantised(narrow, {name: F.col(name).cast("double") for name in names}, bits)
+    cell = F.array(*[axes[name].cast("int") for name in names])
+    cells = narrow.select("doc_id", "size", "text_crc32", hilbert_index(cell, len(names), bits).alias("hilbert"))
+    ranked = with_rank(materialise(cells, "cells"), ["hilbert", "text_crc32", "size", "doc_id"], "rank")
     ranked = materialise(ranked, "order")
     rows = ranked.count()
     # Shard s begins at the first rank r with floor(r x shards / rows) = s.

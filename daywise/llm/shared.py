@@ -28,14 +28,13 @@ def shuffle_partitions(spark: SparkSession) -> int:
 def with_rank(df: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
     """Add the dense rank 0, 1, 2 ... of every row in the order of `keys` (nulls first).
 
-    Rows are range partitioned, sorted, numbered within their partition and written once, so the
-    numbers are fixed; then each partition is moved by the rows before it. The only single task sees
+    Rows are range partitioned, in as many partitions as the session begins a shuffle with and adaptive execution leaves,
+    sorted, numbered within their partition and written once, so the numbers are fixed; then each partition is moved by the rows before it. The only single task sees
     one row per partition. Keys should end in something that is unique, or a hot value stays in
     one partition.
     """
-    spark = df.sparkSession
     numbered = (
-        df.repartitionByRange(shuffle_partitions(spark), *keys)
+        df.repartitionByRange(*keys)
         .sortWithinPartitions(*keys)
         .withColumn("_at", F.monotonically_increasing_id())
     )

@@ -23,7 +23,6 @@ import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from .shared import shuffle_partitions
 
 END_ID = 0
 # Ids of a block; a document longer than that has a block of its own.
@@ -274,8 +273,8 @@ def token_blocks(
 
     `tokenizer` is the path of a tokenizers file that all executors can read. Null texts are empty;
     each document ends in id 0. Documents without an id come first; rows that share an id follow
-    each other by text, all of them. An empty table gives no blocks. Texts are range partitioned once;
-    then a task encodes and packs what it has as a stream, so memory holds one block. `cut=False`
+    each other by text, all of them. An empty table gives no blocks. Texts are range partitioned once,
+    in parts that the session's settings and adaptive execution choose by size; then a task encodes and packs what it has as a stream, so memory holds one block. `cut=False`
     encodes texts in one piece, for tokenizers other than byte-level BPE.
     """
     dtype = "<u2" if vocabulary <= 1 << 16 else "<u4"
@@ -313,7 +312,7 @@ def token_blocks(
 
     ordered = (
         docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-        .repartitionByRange(shuffle_partitions(docs.sparkSession), "doc_id")
+        .repartitionByRange("doc_id")
         .sortWithinPartitions("doc_id", "text")
     )
     return ordered.mapInArrow(pack, BLOCKS)

@@ -170,6 +170,69 @@ def test_language(spark, docs, none):
         assert len({tuple(row) for row in code}) == n
 
 
+@pytest.mark.parametrize("n", [2, 50])
+def test_clean_documents_are_kept_with_any_number_of_languages(spark, n):
+    draws = random.Random(14)
+    letters = [chr(c) for c in range(0x3B1, 0x3B1 + 300) if chr(c).isalpha()]
+    words = {k: ["".join(draws.choice(letters) for _ in range(draws.randint(2, 6))) for _ in range(60)] for k in range(n)}
+    # A third of the words of each text are of no language, so margins stay behind those of the training rows.
+    noise = ["".join(draws.choice(letters) for _ in range(5)) for _ in range(5000)]
+    rows = [
+        (i, " ".join(draws.choice(noise) if i % 2 and draws.random() < 0.33 else draws.choice(words[i % n]) for _ in range(80)), f"l{i % n}", "s", 1)
+        for i in range(12 * n)
+    ]
+    rows += [(10**6, "12 345 !", "l0", "s", 1), (10**6 + 1, None, "l0", "s", 1)]
+    table = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    kept = {r.doc_id for r in corpus_pipeline.language_id(spark, table, "").collect()}
+    assert kept == {r[0] for r in rows if r[0] < 10**6}
+
+
+def test_language_at_chance():
+    model = lang.LanguageModel.fit({"a": lang.gram_counts("abab " * 50), "b": lang.gram_counts("cdcd " * 50)})
+    assert model.predict("abab abab")[3] < 0.1 and model.predict("cdcd")[3] < 0.1
+    assert model.predict("zzzz qqqq xxxx")[3] > 0.3 and model.predict("7")[3] == lang.CHANCE
+
+
+def test_shard_axes_compare_whole_names(spark):
+    names = [f"common_crawl/segment-{i:02d}" for i in range(16)]
+    rows = [(i, "t", "en", names[i * 7 % 16]) for i in range(160)] + [(1000, None, None, None)]
+    table = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    ranks = sharding.with_ordinals(table, ["source"])
+    got = {r.doc_id: r.source for r in ranks.collect()}
+    assert got == {i: float(names.index(s)) if s else None for i, _, _, s in rows}
+    placed = sharding.shard(table, {"source": F.col("source")}, shards=4, bits=4)
+    by = {}
+    for r in placed.join(table, "doc_id").collect():
+        by.setdefault(r.shard, set()).add(r.source)
+    assert all(len(s - {None}) <= 5 for s in by.values())
+
+
+def test_range_partitions_follow_the_session(spark, docs):
+    from daywise.llm.shared import with_rank
+
+    many = spark.range(300_000).select(F.col("id").alias("doc_id"), F.lit("some text").alias("text"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", "37")
+    try:
+        frame = tokens.token_blocks(many, PATH)
+        plan = frame._jdf.queryExecution().executedPlan().toString()
+        assert re.search(r"rangepartitioning\(.*, 37\), REPARTITION_BY_COL", plan)
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64k")
+        ranked = with_rank(many, ["doc_id"], "rank")
+        assert ranked.filter("rank <> doc_id").count() == 0
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.initialPartitionNum")
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+
+
+def test_stages_keep_columns_of_any_name(spark, docs):
+    folder = "/root/testdata/sf0.001"
+    odd = docs.withColumns({c: F.lit(c) for c in ("_found", "_KEY", "_words", "_copy", "_taken_size", "_key_")})
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        rows = stage(spark, odd, folder)
+        assert rows.columns == odd.columns, name
+        assert {(r._found, r._KEY, r._words, r._key_) for r in rows.collect()} == {("_found", "_KEY", "_words", "_key_")}, name
+
+
 def test_shards(docs, none):
     rows = sharding.shard(docs).collect()
     assert len(rows) == len(EDGES)
@@ -236,6 +299,60 @@ def test_spaced_seeds(spark, docs, none):
     assert seeds.contaminated(docs, bench).count() == 0
 
 
+def overlaps(doc, item, least=10, share=0.8):
+    """(words, equal words) of the longest overlap of two lists of words, over all ways to lay them side by side."""
+    found = (0, 0)
+    for shift in range(1 - len(item), len(doc)):
+        same = [doc[i] == item[i - shift] for i in range(max(0, shift), min(len(doc), shift + len(item)))]
+        if len(item) < least:
+            found = max(found, (len(item), len(item)) if sum(same) == len(item) else (0, 0))
+            continue
+        for a in range(len(same)):
+            for b in range(a + max(least, found[0]), len(same) + 1):
+                if sum(same[a:b]) >= share * (b - a) - 1e-9:
+                    found = max(found, (b - a, sum(same[a:b])))
+    return found
+
+
+def test_spaced_seeds_against_all_pairs(spark):
+    draws = random.Random(13)
+    items = [[f"i{k}w{j}" for j in range(draws.choice((1, 3, 9, 10, 12, 17, 26)))] for k in range(24)]
+    items += [["a", "b"] * 8, ["c"] * 12, ["d"] * 4]
+    docs = []
+    for k in range(150):
+        item = draws.choice(items)
+        begin = draws.randrange(len(item))
+        part = [w if draws.random() < 0.85 else "other" for w in item[begin if draws.random() < 0.3 else 0 :]]
+        docs.append([f"x{draws.randrange(50)}" for _ in range(draws.randrange(8))] + part + [f"y{draws.randrange(50)}" for _ in range(draws.randrange(8))])
+    docs += [["a", "b"] * 20, ["c"] * 60, ["d"] * 3, []]
+    table = spark.createDataFrame([(i, " ".join(d), "x") for i, d in enumerate(docs)], "doc_id long, text string, stretch string")
+    bench = spark.createDataFrame([(i, " ".join(d), 1) for i, d in enumerate(items)], "item_id long, text string, seed int")
+    got = {(r.doc_id, r.item_id): (r.overlap_words, r.equal_words) for r in seeds.contaminated(table, bench).collect()}
+    want = {(i, j): overlaps(d, w) for i, d in enumerate(docs) for j, w in enumerate(items)}
+    want = {k: v for k, v in want.items() if v[0]}
+    assert got.keys() <= want.keys() and len(got) >= 0.98 * len(want)
+    assert sum(got[k] == want[k] for k in got) >= 0.98 * len(got) > 80
+
+
+def test_any_ten_words_with_two_changed_are_found():
+    from itertools import combinations
+
+    words = np.arange(1, 11, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    for changed in combinations(range(10), 2):
+        other = words.copy()
+        other[list(changed)] = 7
+        assert any((seeds.seed_hashes(words, m) == seeds.seed_hashes(other, m)).any() for m in seeds.MASKS)
+
+
+def test_seed_hits_far_apart_and_repeated_words(spark):
+    item = [f"w{i}" for i in range(2000)]
+    torn = [w if i < 15 or i >= 1985 or i % 6 else "other" for i, w in enumerate(item)]
+    table = spark.createDataFrame([(1, " ".join(torn)), (2, "x " * 20_000), (3, "短い問題です答え")], "doc_id long, text string")
+    bench = spark.createDataFrame([(1, " ".join(item)), (2, "x " * 30), (3, "問題です"), (4, "w1")], "item_id long, text string")
+    got = {(r.doc_id, r.item_id): (r.overlap_words, r.first_word) for r in seeds.contaminated(table, bench).collect()}
+    assert got == {(1, 1): (2000, 0), (2, 2): (30, 0), (3, 3): (4, 2), (1, 4): (1, 1)}
+
+
 def test_repeated_spans(spark, docs, none):
     passage = " ".join(f"This is sentence number {i} of a passage." for i in range(8))
     texts = [(1, f"Start one. {passage} End one."), (2, f"Start two. {passage} End two."), (3, "Nothing in common here. At all."), (4, None)]
