@@ -35,16 +35,44 @@ def _alias_key(url: Column) -> Column:
     return F.concat(host_of(url), path_of(url), query)
 
 
-def _absolute(link: Column, url: Column) -> Column:
-    """A link as a page at `url` means it, where it is absolute, without scheme, or from the root."""
-    scheme = F.coalesce(F.regexp_extract(url, r"(?s)^(.*?)://", 1), F.lit(""))
+def _without_dots(path: Column) -> Column:
+    """A path in which `.` and `..` are followed."""
+    parts = F.split(path, "/")
+    ends_in_folder = F.element_at(parts, -1).isin(".", "..")
+    parts = F.when(ends_in_folder, F.concat(parts, F.array(F.lit("")))).otherwise(parts)
+
+    def follow(seen: Column, part: Column) -> Column:
+        up = F.when(F.size(seen) > 1, F.slice(seen, 1, F.size(seen) - 1)).otherwise(seen)
+        return F.when(part == "..", up).when(part == ".", seen).otherwise(F.concat(seen, F.array(part)))
+
+    return F.array_join(F.aggregate(parts, F.array().cast("array<string>"), follow), "/")
+
+
+def _absolute(link: Column, base: Column) -> Column:
+    """A link as a page at `base` means it; null for one to the page itself, or to something that is no page."""
+    scheme = F.coalesce(F.regexp_extract(base, r"(?s)^(.*?)://", 1), F.lit(""))
+    origin = F.concat(scheme, F.lit("://"), host_of(base))
+    folder = F.regexp_replace(path_of(base), r"[^/]*$", "")
+    folder = F.when(folder == "", "/").otherwise(folder)
+    path, rest = F.regexp_extract(link, r"(?s)^([^?#]*)", 1), F.regexp_extract(link, r"(?s)^[^?#]*(.*)$", 1)
     return (
-        F.when(link.contains("://"), link)
+        F.when((link == "") | link.startswith("#"), None)
+        .when(link.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*://"), link)
+        .when(link.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:"), None)
         .when(link.startswith("//"), F.concat(scheme, F.lit(":"), link))
-        .when(link.startswith("/"), F.concat(scheme, F.lit("://"), host_of(url), link))
+        .when(host_of(base) == "", None)
+        .when(link.startswith("?"), F.concat(origin, path_of(base), link))
+        .when(link.startswith("/"), F.concat(origin, _without_dots(path), rest))
+        .otherwise(F.concat(origin, _without_dots(F.concat(folder, path)), rest))
     )
 
 
+def _base(html: Column, url: Column) -> Column:
+    """What the links of a page start from: its first base tag, or its URL."""
+    tag = F.regexp_extract(html, r"(?is)<base\b[^>]*\bhref\s*=\s*[\"']?([^\"'\s>]+)", 1)
+    return F.coalesce(_absolute(tag, url), url)
+
+
 def _links(html: Column) -> Column:
     """Targets of canonical links and of refresh redirects in a page."""
     tags = F.regexp_extract_all(html, F.lit(r"(?is)<link\b[^>]*\brel\s*=\s*[\"']?canonical\b[^>]*>"), F.lit(0))
@@ -55,9 +83,13 @@ def _links(html: Column) -> Column:
 
 
 def page_links(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
-    """(a, b): a page's URL and one that its HTML redirects to or names as canonical."""
-    found = pages.select(F.col(url).alias("a"), F.explode(_links(F.col(html))).alias("link"))
-    return found.select("a", _absolute(F.col("link"), F.col("a")).alias("b")).filter("b is not null")
+    """(a, b): a page's URL and one that its HTML redirects to or names as canonical.
+
+    Relative links are taken from the page's base tag or else its URL. A null page, or one without such a tag, gives no row.
+    """
+    base = _base(F.col(html), F.col(url))
+    found = pages.select(F.col(url).alias("a"), base.alias("base"), F.explode(_links(F.col(html))).alias("link"))
+    return found.select("a", _absolute(F.col("link"), F.col("base")).alias("b")).filter("b is not null")
 
 
 def rules(spark: SparkSession, listed: Sequence[tuple[str, str]]) -> DataFrame:

@@ -233,6 +233,28 @@ def test_stages_keep_columns_of_any_name(spark, docs):
         assert {(r._found, r._KEY, r._words, r._key_) for r in rows.collect()} == {("_found", "_KEY", "_words", "_key_")}, name
 
 
+def test_relative_links(spark):
+    from urllib.parse import urljoin
+
+    bases = ["https://Example.org/a/b/c.html?q=1#f", "http://h.net", "http://h.net/x/", "http://h.net/x"]
+    links = [
+        "page.html", "../x", "../../../x?y=1", "./", "..", ".", "/r/./s/../t#u", "//other.net/p", "?id=1", "http://u.net/a?b=c://d", "a/b?to=http://z/", "x:y",
+        "mailto:a@b.c", "#top", "d/../e/.", "%20a",
+    ]
+    pages, want = [], set()
+    for base in bases:
+        for link in links:
+            pages.append((base, f'<p><LINK href="{link}" rel=canonical></p>'))
+            if link not in ("x:y", "mailto:a@b.c", "#top"):
+                want.add((base, urljoin(base.replace("Example", "example"), link)))
+    pages.append(("http://one.net/deep/er/", '<base href="../up/"><meta http-equiv="refresh" content="0; url=to?x=1">' + "long " * 100_000))
+    want.add(("http://one.net/deep/er/", "http://one.net/deep/up/to?x=1"))
+    pages += [("no scheme", '<link rel="canonical" href="a">'), (None, '<link rel="canonical" href="a">'), ("http://one.net/", None), ("http://one.net/", "")]
+    table = spark.createDataFrame([(i, u, h, "k", "r") for i, (u, h) in enumerate(pages)], "page_id long, url string, html string, key string, root string")
+    assert {tuple(r) for r in urls.page_links(table).collect()} == want
+    assert urls.judge(table, urls.rules(spark, [("block", "one.net/deep/up/")])).filter("by = 'alias' and verdict = 'block'").count() == 1
+
+
 def test_shards(docs, none):
     rows = sharding.shard(docs).collect()
     assert len(rows) == len(EDGES)
