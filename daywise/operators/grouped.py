@@ -30,7 +30,7 @@ def avg_by_category(
 
 
 # Ranges that the values of a group are counted in at once.
-RANGES = 4096
+RANGES = 1 << 16
 
 
 def moment_sums(column: str, places: int = 6) -> list[Column]:
@@ -78,14 +78,12 @@ def exact_quantiles(counts: DataFrame, by: Sequence[str], value: str, shares: Se
     whole = counts.schema[value].dataType.typeName() not in ("double", "float", "decimal")
     by = list(by)
     base = counts.groupBy(*by).agg(F.sum("_count").alias("n"), F.min(value).alias("_lo"), F.max(value).alias("_hi"))
-    base = materialise(base, "groups")
     at = [F.lit(float(share)) * (F.col("n") - 1) for share in shares]
     ranks = F.array_distinct(F.array(*[f(a).cast("bigint") for a in at for f in (F.floor, F.ceil)]))
-    probes = materialise(base.select(*by, F.explode(ranks).alias("_rank"), "_lo", "_hi", F.lit(0).cast("bigint").alias("_before")), "probes")
-    while True:
+    probes = base.select(*by, "n", F.explode(ranks).alias("_rank"), "_lo", "_hi", F.lit(0).cast("bigint").alias("_before"))
+
+    def narrowed(probes: DataFrame) -> DataFrame:
         wide = probes.filter("_lo < _hi")
-        if wide.isEmpty():
-            break
         inside = counts.join(wide.select(*by, "_lo", "_hi").distinct(), by).filter(F.col(value).between(F.col("_lo"), F.col("_hi")))
         share = _gap(F.col(value), F.col("_lo"), whole) / _gap(F.col("_hi"), F.col("_lo"), whole)
         part = F.least(F.floor(share * ranges).cast("int"), F.lit(ranges - 1))
@@ -96,13 +94,17 @@ def exact_quantiles(counts: DataFrame, by: Sequence[str], value: str, shares: Se
         counted = counted.withColumn("_upto", F.sum("_rows").over(order))
         rank = F.col("_rank") - F.col("_before")
         found = wide.join(counted, [*by, "_lo", "_hi"]).filter((rank >= F.col("_upto") - F.col("_rows")) & (rank < F.col("_upto")))
-        narrowed = found.select(
-            *by, "_rank", F.col("_least").alias("_lo"), F.col("_most").alias("_hi"),
+        closer = found.select(
+            *by, "n", "_rank", F.col("_least").alias("_lo"), F.col("_most").alias("_hi"),
             (F.col("_before") + F.col("_upto") - F.col("_rows")).alias("_before"),
         )
-        probes = materialise(probes.filter("_lo = _hi").unionByName(narrowed), "probes")
+        return materialise(probes.filter("_lo = _hi").unionByName(closer), "probes")
+
+    probes = narrowed(probes)
+    while not probes.filter("_lo < _hi").isEmpty():
+        probes = narrowed(probes)
     values = F.map_from_entries(F.collect_list(F.struct("_rank", F.col("_lo").cast("double"))))
-    known = probes.groupBy(*by).agg(values.alias("_at")).join(base.select(*by, "n"), by)
+    known = probes.groupBy(*by, "n").agg(values.alias("_at"))
 
     def between(a: Column) -> Column:
         low, high = F.floor(a).cast("bigint"), F.ceil(a).cast("bigint")

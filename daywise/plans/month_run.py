@@ -4,12 +4,12 @@ from __future__ import annotations
 
 import csv
 import re
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 from typing import Literal
 from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, Row, SparkSession, functions as F, types as T
 
 from ..functions import fixed_values as fv
 from ..operators import normalise_dust, normalise_usage, normalise_weather, union_by_name
@@ -24,20 +24,16 @@ class UnknownLayout(ValueError):
     """A file in no charset or with no column that says what it is; nothing is replaced."""
 
 
-def read_aligned(spark: SparkSession, paths: Sequence[str], day: Sequence[str], charset: str | None = None) -> list[DataFrame]:
-    """Files of a month or year, one frame for each layout: columns go by the names in each header.
-
-    One job tells the charset and the header line of all files, as an aggregate over their lines; a `charset` that is given
-    holds for all. Files with the same of both are scanned together. A file that fits no charset, or whose header has
-    none of the `day` columns, fails the run. Files without a line are passed over.
-    """
-    fallback = charset or list(dict.fromkeys(c for c in fv.INPUT_CHARSETS.values() if c != "utf-8"))
+def _layouts(
+    profiles: Iterable[Row], day: Sequence[str], charset: str | None
+) -> dict[tuple[str, tuple[str, ...]], list[str]]:
+    """Files by charset and column names; one that fits no charset, or has none of the `day` columns, fails the run."""
     layouts: dict[tuple[str, tuple[str, ...]], list[str]] = {}
-    for row in file_profile(spark, list(paths), fallback).collect():
+    for row in profiles:
         status = charset or row.status
         path = unquote(row.file)
-        if status == UNDECODABLE:
-            raise UnknownLayout(f"{path} is in none of the charsets utf-8, utf-16 and {fallback}")
+        if row.status == UNDECODABLE:
+            raise UnknownLayout(f"{path} is in none of the known charsets")
         raw = bytes(row.header)
         # The first line ends at the byte of the line feed, which is the second of two in big-endian files.
         text = raw[: len(raw) - len(raw) % 2].decode(status) if status in WIDE else raw.decode(status)
@@ -45,11 +41,19 @@ def read_aligned(spark: SparkSession, paths: Sequence[str], day: Sequence[str],
         if not set(day) & set(header):
             raise UnknownLayout(f"{path} has none of the columns {list(day)}, but {header}")
         layouts.setdefault((status, tuple(header)), []).append(path)
-    if not layouts:
-        raise UnknownLayout(f"no file with a line below {list(paths)}")
+    return layouts
+
+
+def read_aligned(
+    spark: SparkSession, profiles: Iterable[Row], day: Sequence[str], charset: str | None = None
+) -> list[DataFrame]:
+    """Files of a month or year, one frame for each charset and layout: columns go by the names in each header.
+
+    `profiles` are rows of `sources.file_profile`. A `charset` that is given holds for all.
+    """
     return [
         read_csv(spark, files, T.StructType([T.StructField(c, T.StringType()) for c in header]), charset=status)
-        for (status, header), files in sorted(layouts.items())
+        for (status, header), files in sorted(_layouts(profiles, day, charset).items())
     ]
 
 
@@ -65,24 +69,34 @@ def read_inputs(
 
     `month` fills the file names and may be a pattern: `2025??` stacks the monthly files of a year.
     `weather` fills that of the weather file, if it is another. Bus files of either layout are
-    aligned by column name. Each file's charset is found out; `charsets` sets that of an input for all its files.
+    aligned by column name. One job tells the charset and the header line of all files, as an aggregate over their lines; `charsets`
+    sets that of an input for all its files. Files without a line are passed over.
     """
     charsets = charsets or {}
-
-    def path(name: str, part: str = month) -> str:
-        return f"{raw}/{fv.INPUT_FILES[name].format(month=part)}"
+    names = ["bus", "subway", "weather", *(["dust"] if with_dust else [])]
+    months = {name: weather if weather and name == "weather" else month for name in names}
+    paths = [f"{raw}/{fv.INPUT_FILES[name].format(month=part)}" for name, part in months.items()]
+    fallbacks = list(dict.fromkeys([*charsets.values(), *(c for c in fv.INPUT_CHARSETS.values() if c != "utf-8")]))
+    profiles = file_profile(spark, paths, fallbacks).collect()
+
+    def frames(name: str, day: Sequence[str]) -> list[DataFrame]:
+        before, after = map(re.escape, fv.INPUT_FILES[name].split("{month}"))
+        mine = [row for row in profiles if re.search(f"/{before}[0-9]+{after}(/|$)", unquote(row.file))]
+        found = read_aligned(spark, mine, day, charsets.get(name))
+        if not found:
+            raise UnknownLayout(f"no file with a line for {name} of {months[name]} below {raw}")
+        return found
 
     def usage(name: str, columns: Mapping[str, object], lenient: bool = False) -> DataFrame:
-        frames = read_aligned(spark, [path(name)], columns["day"], charsets.get(name))
-        return union_by_name([normalise_usage(frame, columns, lenient) for frame in frames])
+        return union_by_name([normalise_usage(frame, columns, lenient) for frame in frames(name, columns["day"])])
 
-    def stacked(name: str, part: str = month) -> DataFrame:
-        return union_by_name(read_aligned(spark, [path(name, part)], ["TM"], charsets.get(name)))
+    def stacked(name: str) -> DataFrame:
+        return union_by_name(frames(name, ["TM"]))
 
     inputs = {
         "usage_a": usage("bus", fv.BUS_COLUMNS),
         "usage_b": usage("subway", fv.SUBWAY_COLUMNS, lenient=True),
-        "weather": normalise_weather(stacked("weather", weather or month)),
+        "weather": normalise_weather(stacked("weather")),
     }
     if with_dust:
         inputs["dust"] = normalise_dust(stacked("dust"))
