@@ -19,7 +19,7 @@ from collections import deque
 from functools import lru_cache
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 OPEN, CLOSE = "<|im_start|>", "<|im_end|>"
 # Strings that chat templates and tokenizers treat as control marks.
@@ -159,23 +159,30 @@ def format_conversations(
     """Windows of all conversations: text, loss spans [start, end) in code points, repeated turns first.
 
     `n_repeated` turns at the start of a window are the system turn and history: as many of the last
-    `history_turns` as `history_budget` tokens and the first new turn allow. A turn above the budget has a window of its own and is kept whole. Null texts
+    `history_turns` as `history_budget` tokens and the first new turn allow. A turn above the budget has a window of its own and is kept whole.
+    The system turn is in every window, however long it is: where it leaves no room for the next turn, a window is the system
+    turn and that turn, above the budget and without history. Null texts
     and roles are empty; rows are ordered by turn, then role and text, nulls first; repeated rows are
     turns of their own; rows without a conv_id are one conversation. An empty table gives no windows.
-    A conversation goes through one task as a sorted stream, of which a window is held at a time.
+    Tokens of turns are counted where the rows are read. A conversation then goes through one task as a sorted stream that
+    adds up these counts and holds a window at a time.
     """
     rows = turns.select(
         F.col(conv_id).cast("long").alias("conv_id"), F.col(turn).alias("turn"),
         F.coalesce(F.col(role), F.lit("")).alias("role"), F.coalesce(F.col(text), F.lit("")).alias("text"),
     )
 
+    def count(batches):
+        for batch in batches:
+            said = zip(batch.column("role").to_pylist(), batch.column("text").to_pylist())
+            counts = pa.array(token_counts([render(*turn)[0] for turn in said], tokenizer), pa.int64())
+            yield pa.RecordBatch.from_arrays([*batch.columns, counts], [*batch.schema.names, "n_tokens"])
+
     def cut(batches):
         current = None
         for batch in batches:
             done = []
-            convs, roles, texts = (batch.column(k).to_pylist() for k in ("conv_id", "role", "text"))
-            counts = token_counts([render(who, said)[0] for who, said in zip(roles, texts)], tokenizer)
-            for conv, who, said, n in zip(convs, roles, texts, counts):
+            for conv, who, said, n in zip(*(batch.column(k).to_pylist() for k in ("conv_id", "role", "text", "n_tokens"))):
                 if current is None or current.conv_id != conv:
                     if current:
                         done.append(current.flush())
@@ -185,8 +192,9 @@ def format_conversations(
         if current:
             yield _batch([current.flush()], _WINDOW_KINDS)
 
-    ordered = rows.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "text")
-    return ordered.select("conv_id", "role", "text").mapInArrow(cut, WINDOWS)
+    counted = rows.mapInArrow(count, T.StructType([*rows.schema, T.StructField("n_tokens", T.LongType())]))
+    ordered = counted.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "text")
+    return ordered.select("conv_id", "role", "text", "n_tokens").mapInArrow(cut, WINDOWS)
 
 
 DIGESTS = "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long, n_windows long"
