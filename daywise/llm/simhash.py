@@ -5,8 +5,8 @@ bits. Manhattan distance between two such vectors of counts is at most the numbe
 so fingerprints within `max_bits` are within `max_bits` of each other in this space, too. The 32
 axes lie in eight groups. A pair within range differs in at most four groups, so it agrees on all
 axes of at least four: for each choice of four groups there is a grid whose cells are the counts on
-those axes, and every pair within range shares a cell of at least one grid. Pairs of a cell are
-then verified on the bits themselves.
+those axes, and every pair within range shares a cell of at least one grid. Pairs of a cell beyond
+`max_bits` of Manhattan distance on all axes are ruled out by that; the rest is verified on the bits themselves.
 """
 
 from __future__ import annotations
@@ -78,12 +78,22 @@ def _masks(groups: int, kept: int) -> list[int]:
     return [m - (1 << 64) if m >> 63 else m for m in masks]
 
 
+# The low bit of each segment.
+LOW = 0x5555555555555555
+
+
 def _counts_code() -> Column:
-    """The vector of counts, packed: each two-bit field holds how many of its two bits are set."""
-    low = 0x5555555555555555
+    """The vector of counts, packed: each two-bit field holds as many set bits, from its low one on, as the segment."""
     x, shifted = F.col("fp"), F.shiftrightunsigned("fp", 1)
-    two = F.shiftleft(x.bitwiseAND(shifted).bitwiseAND(low), 1)
-    return x.bitwiseXOR(shifted).bitwiseAND(low).bitwiseOR(two)
+    two = F.shiftleft(x.bitwiseAND(shifted).bitwiseAND(LOW), 1)
+    return x.bitwiseOR(shifted).bitwiseAND(LOW).bitwiseOR(two)
+
+
+def counts_codes(fps: np.ndarray) -> np.ndarray:
+    """The same for unsigned fingerprints. Counts in this form differ in as many bits as their Manhattan distance."""
+    one, low = np.uint64(1), np.uint64(LOW)
+    shifted = fps >> one
+    return (fps | shifted) & low | ((fps & shifted & low) << one)
 
 
 def _spanning_links(max_bits: int):
@@ -94,6 +104,7 @@ def _spanning_links(max_bits: int):
             a, b = [], []
             for cell in batch.column("members"):
                 fps = np.unique(np.array(cell.values, dtype=np.int64)).view(np.uint64)
+                codes = counts_codes(fps)
                 # Grow one tree at a time: every fingerprint is compared once with those not yet reached.
                 free = np.ones(len(fps), bool)
                 for root in range(len(fps)):
@@ -104,7 +115,8 @@ def _spanning_links(max_bits: int):
                     while reached:
                         node = reached.pop()
                         rest = np.flatnonzero(free)
-                        near = rest[np.bitwise_count(fps[rest] ^ fps[node]) <= max_bits]
+                        near = rest[np.bitwise_count(codes[rest] ^ codes[node]) <= max_bits]
+                        near = near[np.bitwise_count(fps[near] ^ fps[node]) <= max_bits]
                         free[near] = False
                         reached.extend(near.tolist())
                         a.extend([int(fps[node].view(np.int64))] * len(near))
