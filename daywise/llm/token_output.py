@@ -1,8 +1,9 @@
 """Token ids of documents as blocks of one long id array with Elias-Fano document boundaries.
 
 The file format is a Parquet folder with a row per block. A block holds the ids of consecutive
-documents, end ids included, as little-endian 16- or 32-bit integers, the ids of these documents, and
-where each ends: an increasing sequence, stored as Elias-Fano code. Of each offset the low bits are
+documents, end ids included, as little-endian 16- or 32-bit integers, and two sequences that never
+fall, as Elias-Fano code: where each document ends, and the documents' own ids, less the first of them
+(documents without an id come before these, and are only counted). Of each offset the low bits are
 packed and the high part is a set bit in a bitmap at (high part + index); a table of every 256th set
 bit answers select, so one offset is found without decoding the rest, in about two bits more than
 the low bits for each document. Blocks are numbered by part (a range of doc_id) and block, and
@@ -37,7 +38,8 @@ STRETCH = 1 << 17
 
 BLOCKS = (
     "part int, block int, start long, n_docs long, n_ids long, width int, ids binary, "
-    "low_bits int, low binary, high binary, selects binary, doc_ids array<bigint>"
+    "low_bits int, low binary, high binary, selects binary, "
+    "n_unnamed int, first_id long, id_low_bits int, id_low binary, id_high binary, id_selects binary"
 )
 ENTRIES = "part int, doc_id long, start long, n_tokens long, ids_crc32 long"
 
@@ -98,6 +100,15 @@ class EliasFano:
         return high + bits.reshape(self.n, self.low_bits).astype(np.int64) @ weights
 
 
+def encode_names(names: list[int | None]) -> tuple[int, int | None, EliasFano]:
+    """(how many nulls, the first id, code of the ids less the first) of ascending ids, nulls first."""
+    unnamed = names.count(None)
+    known = np.array(names[unnamed:], np.int64)
+    # Differences of signed ids fit unsigned numbers, also where they overflow.
+    above = known.view(np.uint64) - known.view(np.uint64)[:1] if len(known) else known
+    return unnamed, int(known[0]) if len(known) else None, EliasFano.encode(above)
+
+
 @lru_cache(maxsize=2)
 def _tokenizer(path: str):
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -290,9 +301,12 @@ def token_blocks(
             ends = np.cumsum(np.fromiter(map(len, held), np.int64, len(held))) // width
             code = EliasFano.encode(ends)
             row = [part, block, start, len(held), int(ends[-1]), width, b"".join(held)]
-            row += [code.low_bits, code.low, code.high, code.selects, names]
+            row += [code.low_bits, code.low, code.high, code.selects]
+            unnamed, first, named = encode_names(names)
+            row += [unnamed, first, named.low_bits, named.low, named.high, named.selects]
             kinds = [pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary()]
-            kinds += [pa.int32(), pa.binary(), pa.binary(), pa.binary(), pa.list_(pa.int64())]
+            kinds += [pa.int32(), pa.binary(), pa.binary(), pa.binary()]
+            kinds += [pa.int32(), pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.binary()]
             fields = [field.split()[0] for field in BLOCKS.split(", ")]
             return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(row, kinds)], fields)
 
@@ -335,6 +349,51 @@ def block_boundaries(row) -> EliasFano:
     return EliasFano(row["n_docs"], row["low_bits"], bytes(row["low"]), bytes(row["high"]), bytes(row["selects"]))
 
 
+def block_names(row) -> list[int | None]:
+    """The doc_ids of one block, in order."""
+    n = row["n_docs"] - row["n_unnamed"]
+    code = EliasFano(n, row["id_low_bits"], bytes(row["id_low"]), bytes(row["id_high"]), bytes(row["id_selects"]))
+    return [None] * row["n_unnamed"] + ((code.decode() + row["first_id"]).tolist() if n else [])
+
+
+NAMES = ["part", "block", "n_docs", "n_unnamed", "first_id", "id_low_bits", "id_low", "id_high", "id_selects"]
+BOUNDS = ["n_docs", "low_bits", "low", "high", "selects"]
+
+
+def read_documents(spark: SparkSession, path: str, wanted: DataFrame, doc_id: str = "doc_id") -> DataFrame:
+    """(doc_id, ids) of the wanted documents, end id included, without reading the other documents' ids out.
+
+    Which block has a document, and at what place, comes from the blocks' names alone; then each place is looked up in
+    its block by select. Rows that share an id all come; ids that are asked for twice count once, null or unknown ids
+    give nothing.
+    """
+    blocks = spark.read.schema(BLOCKS).parquet(path)
+
+    def name(batches):
+        for batch in batches:
+            for row in batch.to_pylist():
+                found = block_names(row)[row["n_unnamed"] :]
+                places = np.arange(row["n_unnamed"], row["n_docs"], dtype=np.int32)
+                columns = [pa.array([row[k]] * len(found), pa.int32()) for k in ("part", "block")]
+                yield pa.RecordBatch.from_arrays([*columns, pa.array(found, pa.int64()), pa.array(places)], ["part", "block", "doc_id", "place"])
+
+    def fetch(batches):
+        for batch in batches:
+            for row in batch.to_pylist():
+                ends, ids = block_boundaries(row), np.frombuffer(row["ids"], f"<u{row['width']}")
+                found = [(w["doc_id"], ids[ends[w["place"] - 1] if w["place"] else 0 : ends[w["place"]]]) for w in row["asked"]]
+                names, slices = zip(*found)
+                columns = [pa.array(names, pa.int64()), pa.array([s.astype(np.int64) for s in slices], pa.list_(pa.int64()))]
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "ids"])
+
+    named = blocks.select(*NAMES).mapInArrow(name, "part int, block int, doc_id long, place int")
+    asked = named.join(wanted.select(F.col(doc_id).cast("long").alias("doc_id")).distinct(), "doc_id")
+    # At most the documents of a block.
+    asked = asked.groupBy("part", "block").agg(F.collect_list(F.struct("doc_id", "place")).alias("asked"))
+    held = blocks.select("part", "block", "width", "ids", *BOUNDS).join(asked, ["part", "block"])
+    return held.mapInArrow(fetch, "doc_id long, ids array<bigint>")
+
+
 def read_index(spark: SparkSession, path: str) -> DataFrame:
     """What the files hold of each document: doc_id, start, n_tokens (with the end id), ids_crc32.
 
@@ -352,7 +411,7 @@ def read_index(spark: SparkSession, path: str) -> DataFrame:
                 sums = [zlib.crc32(ids[a:b]) for a, b in zip(starts.tolist(), ends.tolist())]
                 columns = [
                     pa.array([row["part"]] * len(ends), pa.int32()),
-                    pa.array(row["doc_ids"], pa.int64()),
+                    pa.array(block_names(row), pa.int64()),
                     pa.array(starts + row["start"], pa.int64()),
                     pa.array(ends - starts, pa.int64()),
                     pa.array(sums, pa.int64()),
