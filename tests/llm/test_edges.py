@@ -109,11 +109,46 @@ def test_tokens(spark, docs, none):
         code = tokens.block_boundaries(block)
         assert [code[i] for i in range(code.n)] == code.decode().tolist()
         assert code[code.n - 1] == block.n_ids == len(block.ids) // 2
+        assert len(tokens.block_names(block)) == block.n_docs
     empty = new_folder(spark, "test-tokens")
     tokens.write_tokens(none, empty, PATH)
     assert tokens.read_index(spark, empty).count() == 0
 
 
+def test_documents_are_looked_up_in_their_blocks(spark, docs):
+    path = new_folder(spark, "test-tokens")
+    tokens.write_tokens(docs, path, PATH, block_ids=50)
+    asked = spark.createDataFrame([(7,), (1,), (1,), (3,), (None,), (99,)], "doc_id long")
+    got = sorted(tuple(r) for r in tokens.read_documents(spark, path, asked).collect())
+    encoder = tokens.Encoder(PATH, "<u2", False)
+    texts = [(i, text or "") for i, text, *_ in EDGES if i in (1, 3, 7)]
+    want = [(i, np.frombuffer(encoder.encode([text])[0], "<u2").tolist() + [0]) for i, text in texts]
+    assert got == sorted(want)
+    assert tokens.read_documents(spark, path, asked.limit(0)).count() == 0
+
+
+def test_names_of_a_block():
+    for names in ([None, None, 1, 1, 5], [None], [5], [-(2**63), 0, 2**63 - 1], list(range(-500, 3000, 7))):
+        unnamed, first, code = tokens.encode_names(names)
+        row = {
+            "n_docs": len(names), "n_unnamed": unnamed, "first_id": first, "id_low_bits": code.low_bits, "id_low": code.low,
+            "id_high": code.high, "id_selects": code.selects,
+        }
+        assert tokens.block_names(row) == names
+        assert [code[i] + first for i in range(code.n)] == names[unnamed:]
+
+
+def test_manhattan_distance_of_counts():
+    a, b = np.random.default_rng(0).integers(0, 2**64, (2, 500), dtype=np.uint64)
+    apart = np.bitwise_count(simhash.counts_codes(a) ^ simhash.counts_codes(b)).tolist()
+
+    def counts(fp):
+        return [(int(fp) >> 2 * s & 3).bit_count() for s in range(32)]
+
+    assert apart == [sum(abs(x - y) for x, y in zip(counts(p), counts(q))) for p, q in zip(a, b)]
+    assert (apart <= np.bitwise_count(a ^ b)).all()
+
+
 def test_elias_fano_is_small_and_exact():
     draws = np.random.default_rng(0)
     for n, top in ((1, 0), (5, 3), (1000, 10), (3000, 4000), (700, 3)):
@@ -513,6 +548,15 @@ def test_chat_windows(spark):
     assert chat.format_conversations(table.limit(0), PATH).count() == 0
 
 
+def test_system_turn_above_the_budget(spark):
+    turns = [(1, 0, "system", "rule " * 300)] + [(1, i, ("user", "assistant")[i % 2 == 0], f"turn {i}") for i in range(1, 7)]
+    table = spark.createDataFrame(turns, "conv_id long, turn int, role string, text string")
+    windows = sorted(chat.format_conversations(table, PATH, budget=200).collect(), key=lambda w: w.window)
+    said = [[t[:2] for t in chat.parse(w.text)] for w in windows]
+    assert said == [[turns[0][2:]], *[[turns[0][2:], t[2:]] for t in turns[1:]]]
+    assert [w.n_repeated for w in windows] == [0] + [1] * 6
+
+
 def test_escapes_are_reversible():
     draws = random.Random(0)
     parts = [*chat.CONTROLS, "\\", "<", "|", ">", "[", "]", "s", "/", "\n", "<\\s>", "<\\\\/s>"]
@@ -551,6 +595,33 @@ def test_url_aliases(spark):
     assert {r.page_id: r.verdict for r in urls.judge(table.filter("page_id < 6"), listed, log).collect()}[4] == "block"
 
 
+def test_alias_query_agrees_with_sql(spark, tmp_path):
+    import duckdb
+
+    from daywise.llm.queries import QUERIES, SQL
+
+    canonical, refresh = "<link rel='canonical' href='{}'>", '<meta http-equiv="refresh" content="0;url={}">'
+    made = [
+        (1, "http://bad.net/x", None), (2, "https://a.com/1", refresh.format("http://bad.net/x?q=1&amp;r=2")),
+        (3, "https://b.com/2#f", canonical.format("https://a.com/1")), (4, "http://bad.net/x?q=1&r=2", ""),
+        (5, "https://c.org/fr/", canonical.format("http://d.com")), (6, "http://D.com", canonical.format("http://a.com/9")),
+        (7, None, "<html>"), (8, "no url", refresh.format("http://bad.net/")), (2, "https://a.com/1", None),
+        (None, "http://x.example.net/en/a", canonical.format("http://e.com/?")), (9, "http://e.com/?#top", "<p>"),
+        (10, "https://www.example.com/de/", canonical.format("https://c.org/fr/")), (11, "http://net", None),
+    ]
+    spark.createDataFrame(made, "page_id long, url string, html string").write.parquet(str(tmp_path / "pages.parquet"))
+    spark.read.parquet("/root/testdata/sf0.001/pages.parquet").write.parquet(str(tmp_path / "given" / "pages.parquet"))
+    for folder, least in ((tmp_path, 3), (tmp_path / "given", 0)):
+        frame = QUERIES["op10_url_aliases"](spark, str(folder))
+        db = duckdb.connect()
+        db.execute(f"create view pages as select * from '{folder}/pages.parquet/*.parquet'")
+        want = db.execute(SQL["op10_url_aliases"])
+        assert [d[0] for d in want.description] == frame.columns
+        want, got = want.fetchall(), [tuple(r) for r in frame.collect()]
+        assert sorted(got, key=str) == sorted(want, key=str)
+        assert sum(r[5] == "alias" for r in got) >= least
+
+
 def test_pipeline_stages(spark, docs, none):
     folder = "/root/testdata/sf0.001"
     stages = dict(corpus_pipeline.STAGES)
