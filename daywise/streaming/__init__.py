@@ -5,7 +5,7 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 
 def latest_per_key(df: DataFrame, key: Sequence[str], order: Sequence[str]) -> DataFrame:
@@ -27,15 +27,22 @@ def store_batch(
     """Write a batch as a part of its own; written again, it replaces only itself.
 
     Rows without a day, or with a null in `key`, go to the quarantine with the file they came from and the `_reason`. Nothing
-    stored is read or rewritten, so a driver that is lost on the way leaves all earlier rows as they were.
+    stored is read or rewritten, so a driver that is lost on the way leaves all earlier rows as they were. Such rows are counted
+    while the others are written, and the files are read again only if there are any.
     """
     no_day = F.col(day).isNull()
     no_key = F.lit(False)
     for column in key:
         no_key |= F.col(column).isNull()
-    known = batch.filter(~(no_day | no_key))
-    known.hint("rebalance", day).write.mode("overwrite").partitionBy("ym", day).parquet(f"{table}/batch={name}")
-    lost = batch.filter(no_day | no_key).withColumn("_reason", F.when(no_day, "no day").otherwise("no key"))
+    unfit = no_day | no_key
+    counted = Observation()
+    known = batch.observe(counted, F.count_if(unfit).alias("lost")).filter(~unfit)
+    part = f"{table}/batch={name}"
+    known.hint("rebalance", day).write.mode("overwrite").partitionBy("ym", day).parquet(part)
+    # Adaptive execution leaves out the count where no row is fit. A task that is run again may count twice, but never makes some of none.
+    any_fit = not batch.sparkSession.read.schema(known.schema).parquet(part).isEmpty()
+    lost = batch.filter("false" if any_fit and counted.get["lost"] == 0 else unfit)
+    lost = lost.withColumn("_reason", F.when(no_day, "no day").otherwise("no key"))
     lost.hint("rebalance").write.mode("overwrite").parquet(f"{quarantine}/batch={name}")
 
 

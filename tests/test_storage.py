@@ -352,6 +352,24 @@ def test_batch_written_again_replaces_itself(spark, rows, tmp_path):
     assert spark.read.parquet(str(tmp_path / "q")).count() == 1
 
 
+@pytest.mark.parametrize("days, reads, lost", [((1, 2, 3), 1, []), ((1, None, 3), 2, [2]), ((None, None, None), 2, [1, 2, 3]), ((), 1, [])])
+def test_batch_without_unfit_rows_is_read_once(spark, rows, tmp_path, days, reads, lost):
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    held = [(i, i, day and datetime.date(2025, 1, day), "202501") for i, day in enumerate(days, 1)]
+    source = rows(INGESTED, held)
+    store_batch(source.mapInArrow(count, source.schema), "run-0", str(tmp_path / "t"), str(tmp_path / "q"))
+    assert seen.value == reads * len(days)
+    found = spark.read.schema(f"{INGESTED}, _reason STRING").parquet(str(tmp_path / "q")).collect()
+    assert sorted((r.id, r._reason) for r in found) == [(i, "no day") for i in lost]
+    assert spark.read.schema(INGESTED).parquet(str(tmp_path / "t")).count() == len(days) - len(lost)
+
+
 def test_compaction_keeps_what_is_read(landing, spark):
     landing.deliver("1,10,2025-01-01", "2,20,2025-01-01")
     landing.take_in()
